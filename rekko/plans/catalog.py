@@ -144,3 +144,161 @@ QUERIES: dict[str, Query] = {
     "candidates": q_candidates,
     "candidates_capped": q_candidates_capped,
 }
+
+
+# ------------------------------------------------------- sources and features
+
+def _business(spark, sf_dir, domain="supplier"):
+    """Business rows parsed from JSON generated out of ``domain``, with photos."""
+    from rekko.operators.features import with_photos
+    from rekko.sources.files import parse_business
+    from rekko.sources.synth import business_json
+    if domain == "supplier":
+        src = tables.supplier_places(spark, sf_dir)
+        lines = business_json(src, "s_suppkey", "s_nationkey", "s_name", "city", "state")
+    else:
+        src = tables.table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+        lines = business_json(src, "p_partkey", "p_size", "p_name", "p_brand", "p_type")
+    return with_photos(parse_business(lines, id_type="bigint"), tables.photos(spark, sf_dir))
+
+
+def _users(spark, sf_dir):
+    from rekko.sources.files import parse_users
+    from rekko.sources.synth import user_json
+    cust = tables.table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey",
+                        "c_acctbal", "c_mktsegment")
+    return parse_users(user_json(cust), id_type="bigint")
+
+
+def _features(spark, sf_dir, split):
+    from rekko.operators.features import feature_table
+    r = tables.ratings(spark, sf_dir, split=split)
+    pairs = r.select("user_id", "business_id", F.col("stars").alias("label"))
+    return feature_table(pairs, _users(spark, sf_dir), _business(spark, sf_dir), keep=("label",))
+
+
+def q_business_features(spark, sf_dir):
+    from rekko.operators.features import BUSINESS_FEATURES
+    b = _business(spark, sf_dir, "part")
+    return b.select("business_id", "name", "city", "state", *BUSINESS_FEATURES)
+
+
+def q_user_features(spark, sf_dir):
+    return _users(spark, sf_dir)
+
+
+def q_feature_table(spark, sf_dir):
+    return _features(spark, sf_dir, "train")
+
+
+def q_onehot_levels(spark, sf_dir):
+    from rekko.operators import encoding
+    return encoding.fit(_features(spark, sf_dir, "train")).to_frame(spark)
+
+
+def q_onehot_fitted(spark, sf_dir):
+    from rekko.operators import encoding
+    levels = encoding.fit(_features(spark, sf_dir, "train"))
+    x = encoding.apply(_features(spark, sf_dir, "validation"), levels)
+    dummies = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("v"))
+                        for f in levels.features])
+    return (x.select("user_id", "business_id", F.explode(dummies).alias("d"))
+            .filter(F.col("d.v") == 1).select("user_id", "business_id", "d.feature"))
+
+
+# ------------------------------------------------------ scoring and reports
+
+def _bias(spark, sf_dir):
+    from rekko.operators.scoring import BiasScorer
+    return BiasScorer.fit(_train(spark, sf_dir))
+
+
+def _results(spark, sf_dir):
+    """Validation rows scored in batch (clipped), with names (null if unknown)."""
+    from rekko.operators.scoring import clip
+    val = tables.ratings(spark, sf_dir, split="validation")
+    scored = clip(_bias(spark, sf_dir).score(val.select("user_id", "business_id", "stars", "ord")))
+    return (scored.join(_customer_names(spark, sf_dir), "user_id", "left")
+            .join(_supplier_names(spark, sf_dir), "business_id", "left")
+            .select("user_id", "business_id", F.col("prediction").alias("pred_rating"),
+                    F.col("stars").alias("true_rating"), "user_name", "business_name", "ord"))
+
+
+def q_batch_predictions(spark, sf_dir):
+    return _results(spark, sf_dir).select("user_id", "business_id",
+                                          F.col("pred_rating").alias("prediction"))
+
+
+def q_rmse(spark, sf_dir):
+    from rekko.operators.evaluate import rmse
+    out = rmse(_results(spark, sf_dir), "pred_rating", "true_rating")
+    return out.select(F.round("rmse", 9).alias("rmse"), "n")
+
+
+def q_error_histogram(spark, sf_dir):
+    from rekko.operators.evaluate import error_histogram
+    return error_histogram(_results(spark, sf_dir), "pred_rating", "true_rating")
+
+
+def q_high_error(spark, sf_dir):
+    from rekko.operators.evaluate import high_errors
+    return high_errors(_results(spark, sf_dir), "pred_rating", "true_rating")
+
+
+def q_top_predicted(spark, sf_dir):
+    from rekko.operators.reports import top_predicted
+    return top_predicted(_results(spark, sf_dir))
+
+
+def q_low_error_sample(spark, sf_dir):
+    from rekko.operators.reports import low_error_sample
+    return low_error_sample(_results(spark, sf_dir), order="ord")
+
+
+def q_score_pairs(spark, sf_dir):
+    from rekko.operators.scoring import score_pairs
+    val = tables.ratings(spark, sf_dir, split="validation")
+    return score_pairs(val, _bias(spark, sf_dir), _customer_names(spark, sf_dir),
+                       _supplier_names(spark, sf_dir), truth=val)
+
+
+def _places(spark, sf_dir):
+    return tables.supplier_places(spark, sf_dir).select(
+        F.col("s_suppkey").alias("business_id"), F.col("s_name").alias("business_name"),
+        "city", "state")
+
+
+def q_recommend(spark, sf_dir):
+    from rekko.operators.recommend import recommend
+    train = _train(spark, sf_dir)
+    topk = sim.item_topk(train, topk=50, min_cousers=20)
+    return recommend(tables.customers(spark, sf_dir), train, topk, _bias(spark, sf_dir),
+                     _customer_names(spark, sf_dir), _places(spark, sf_dir), k=10)
+
+
+def q_target_on_reference(spark, sf_dir):
+    from rekko.operators.recommend import target_on_reference
+    cust = tables.customers(spark, sf_dir)
+    requests = (cust.select(F.col("user_id").alias("target_id"))
+                .join(cust.select(F.col("user_id").alias("reference_id")),
+                      F.col("reference_id") == F.col("target_id") + 1))
+    return target_on_reference(requests, _train(spark, sf_dir), _bias(spark, sf_dir),
+                               _supplier_names(spark, sf_dir))
+
+
+QUERIES.update({
+    "business_features": q_business_features,
+    "user_features": q_user_features,
+    "feature_table": q_feature_table,
+    "onehot_levels": q_onehot_levels,
+    "onehot_fitted": q_onehot_fitted,
+    "batch_predictions": q_batch_predictions,
+    "rmse": q_rmse,
+    "error_histogram": q_error_histogram,
+    "high_error": q_high_error,
+    "top_predicted": q_top_predicted,
+    "low_error_sample": q_low_error_sample,
+    "score_pairs": q_score_pairs,
+    "recommend": q_recommend,
+    "target_on_reference": q_target_on_reference,
+})

@@ -166,3 +166,268 @@ SELECT business_id, other_id, sim, corr, co_users, rank FROM tk""",
     "candidates": candidates_sql(300),
     "candidates_capped": candidates_sql(15),
 }
+
+
+# ------------------------------------------------------- sources and features
+
+def business_cte(name: str, source: str, k: str, s: str, bname: str, city: str,
+                 state: str) -> str:
+    """Parsed business features computed straight from the key columns
+    (see rekko.sources.synth for the rules the JSON was generated by)."""
+    att = f"({k}) % 7 >= 2"
+    return f"""{name} AS (
+  SELECT {k} AS business_id, {bname} AS name,
+         CASE WHEN ({k}) % 11 = 0 THEN 'N/A' ELSE {city} END AS city, {state} AS state,
+         1.0::DOUBLE + (({s}) % 9) * 0.5::DOUBLE AS bus_stars,
+         CAST((({k}) % 50) * 3 + {s} AS DOUBLE) AS review_count_bus,
+         CAST((({k}) + {s}) % 2 AS INTEGER) AS is_open,
+         CAST(CASE ({k}) % 8 WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 5 THEN 2 WHEN 6 THEN 5 ELSE 7 END
+              AS INTEGER) AS operation_days,
+         CASE WHEN NOT ({att}) THEN 2.0::DOUBLE
+              ELSE CAST(CASE ({s}) % 6 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3
+                                     WHEN 5 THEN 4 ELSE 2 END AS DOUBLE) END AS price_range,
+         CAST(CASE WHEN {att} AND ({s}) % 4 IN (0, 2) THEN 1 ELSE 0 END AS INTEGER) AS credit_card,
+         CASE WHEN {att} AND ({k}) % 5 = 0 THEN 'False'
+              WHEN {att} AND ({k}) % 5 = 1 THEN 'True' END AS validated,
+         CASE WHEN {att} THEN CASE ({k}) % 4 WHEN 0 THEN 'u''quiet''' WHEN 1 THEN 'u''average'''
+                                          WHEN 2 THEN 'u''loud''' END END AS noise_level,
+         CASE WHEN {att} THEN CASE ({s}) % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False'
+                                          ELSE 'None' END END AS delivery,
+         CASE WHEN {att} THEN CASE ({k}) % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False' END END
+              AS takeout,
+         CASE WHEN {att} THEN CASE (({k}) + {s}) % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False' END END
+              AS wifi,
+         CASE WHEN {att} AND ({s}) % 2 = 0 THEN 'True' END AS table_service,
+         CASE WHEN {att} THEN CASE ({k}) % 2 WHEN 0 THEN 'True' ELSE 'False' END END
+              AS wheelchair_accessible,
+         (SELECT CAST(count(*) AS BIGINT) FROM events e WHERE e.user_id = {k}) AS photo_count
+  FROM {source})"""
+
+
+SUPPLIER_BUSINESS = business_cte(
+    "biz", "supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
+    "s_suppkey", "s_nationkey", "s_name", "n_name", "r_name")
+PART_BUSINESS = business_cte("biz", "part", "p_partkey", "p_size", "p_name", "p_brand", "p_type")
+
+USERS = """usr AS (
+  SELECT c_custkey AS user_id,
+         CASE WHEN c_custkey % 13 = 0 THEN 'N/A' ELSE c_name END AS name,
+         CASE WHEN c_nationkey % 6 = 0 THEN 3.0::DOUBLE
+              ELSE 1.0::DOUBLE + CAST((c_custkey * 7) % 41 AS DOUBLE) / 10.0::DOUBLE END AS user_avg_star,
+         CASE WHEN c_custkey % 5 = 0 THEN 0.0::DOUBLE ELSE CAST(c_custkey % 97 AS DOUBLE) END
+              AS user_review_cnt,
+         CASE WHEN c_custkey % 5 = 1 THEN 0.0::DOUBLE
+              ELSE CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) % 100 AS DOUBLE) END AS user_useful,
+         CAST(c_nationkey AS DOUBLE) AS user_funny,
+         CASE WHEN c_custkey % 3 = 0 THEN 0.0::DOUBLE ELSE CAST(length(c_mktsegment) AS DOUBLE) END
+              AS user_cool
+  FROM customer)"""
+
+BUSINESS_FEATURE_LIST = ("bus_stars, review_count_bus, photo_count, operation_days, price_range, "
+                         "credit_card, is_open, validated, noise_level, delivery, takeout, wifi, "
+                         "table_service, wheelchair_accessible")
+
+
+def features_cte(name: str, split: str) -> str:
+    return f"""{ratings_cte('fr_' + name, split=split)},
+{name} AS (
+  SELECT r.user_id, r.business_id, r.stars AS label,
+         u.user_avg_star, u.user_review_cnt, u.user_useful, u.user_funny, u.user_cool,
+         {', '.join('b.' + c for c in BUSINESS_FEATURE_LIST.split(', '))},
+         u.user_avg_star - b.bus_stars AS user_bus_rating_diff,
+         u.user_avg_star / (b.bus_stars + 0.1::DOUBLE) AS user_bus_rating_ratio,
+         u.user_review_cnt / (u.user_useful + 1) AS user_activity_ratio
+  FROM fr_{name} r LEFT JOIN usr u USING (user_id) LEFT JOIN biz b USING (business_id))"""
+
+
+CATS = ["credit_card", "is_open", "validated", "noise_level", "delivery", "takeout", "wifi",
+        "table_service", "wheelchair_accessible"]
+NUMERIC_LEVEL = {"credit_card", "is_open"}
+N_NUMERIC = 13
+
+
+def _levels_cte() -> str:
+    parts = []
+    for i, c in enumerate(CATS):
+        sk = f"CAST({c} AS DOUBLE)" if c in NUMERIC_LEVEL else "NULL::DOUBLE"
+        parts.append(f"SELECT DISTINCT {i} AS cpos, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS level, "
+                     f"{sk} AS sk FROM ft WHERE {c} IS NOT NULL")
+    return f"""lv AS ({' UNION ALL '.join(parts)}),
+kept AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY cpos ORDER BY sk, level) AS rn FROM lv)
+  WHERE rn > 1),
+levels AS (
+  SELECT "column", level, cpos,
+         CAST({N_NUMERIC} - 1 + row_number() OVER (ORDER BY cpos, sk, level) AS BIGINT) AS position,
+         "column" || '_' || level AS feature
+  FROM kept)"""
+
+
+def _onehot_fitted() -> str:
+    arms = " UNION ALL ".join(
+        f"SELECT v.user_id, v.business_id, l.feature FROM fv v JOIN levels l "
+        f"ON l.cpos = {i} AND CAST(v.{c} AS VARCHAR) = l.level" for i, c in enumerate(CATS))
+    return f"""WITH {USERS}, {SUPPLIER_BUSINESS}, {features_cte('ft', 'train')},
+{features_cte('fv', 'validation')}, {_levels_cte()}
+{arms}"""
+
+
+# ------------------------------------------------------ scoring and reports
+
+BIAS = f"""{ratings_cte('r', split='train')}, {ratings_cte('v', split='validation')},
+g AS (SELECT avg(stars) AS g FROM r),
+um AS (SELECT user_id, avg(stars) AS um FROM r GROUP BY 1),
+im AS (SELECT business_id, avg(stars) AS im FROM r GROUP BY 1),
+raw AS (
+  SELECT v.*, g.g + coalesce(um.um - g.g, 0.0::DOUBLE) + coalesce(im.im - g.g, 0.0::DOUBLE) AS raw_pred
+  FROM v CROSS JOIN g LEFT JOIN um USING (user_id) LEFT JOIN im USING (business_id)),
+res AS (
+  SELECT raw.user_id, raw.business_id, least(raw_pred, 5.0::DOUBLE) AS pred_rating,
+         raw.stars AS true_rating, c.c_name AS user_name, s.s_name AS business_name,
+         l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM raw LEFT JOIN customer c ON c.c_custkey = raw.user_id
+  LEFT JOIN supplier s ON s.s_suppkey = raw.business_id)"""
+
+INTERVALS = [(1.0, 2.0), (2.0, 3.0), (3.0, 4.0), (4.0, 5.0), (4.9, 5.1)]
+IV_VALUES = ", ".join(f"({i}, {lo}::DOUBLE, {hi}::DOUBLE, '{lo}-{hi}')"
+                      for i, (lo, hi) in enumerate(INTERVALS))
+
+RECOMMEND = f"""WITH {ratings_cte()}, {DEDUP}, {sums_cte(20)}, {SIM_CTE}, {TOPK_CTE},
+seeds AS (
+  SELECT user_id, business_id AS seed, min(pos) AS seed_pos FROM (
+    SELECT user_id, business_id,
+           row_number() OVER (PARTITION BY user_id ORDER BY {ORD_ASC}) AS pos
+    FROM r) GROUP BY 1, 2),
+expd AS (
+  SELECT s.user_id, t.other_id AS business_id, s.seed_pos
+  FROM seeds s JOIN tk t ON t.business_id = s.seed AND t.rank <= 20),
+fresh AS (
+  SELECT * FROM expd e WHERE NOT EXISTS (
+    SELECT 1 FROM seeds s2 WHERE s2.user_id = e.user_id AND s2.seed = e.business_id)),
+firsts AS (SELECT user_id, business_id, min(seed_pos) AS first_pos FROM fresh GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY first_pos, business_id) AS rn
+  FROM firsts),
+cut AS (
+  SELECT user_id, count(*) FILTER (WHERE rn <= 300) AS n_head,
+         max(first_pos) FILTER (WHERE rn <= 300) AS last_pos
+  FROM ranked GROUP BY user_id),
+warm AS (
+  SELECT f.user_id, f.business_id FROM firsts f JOIN cut c USING (user_id)
+  WHERE c.n_head < 300 OR f.first_pos <= c.last_pos),
+pool AS (
+  SELECT business_id FROM (SELECT business_id, avg(stars) AS m FROM r GROUP BY 1)
+  ORDER BY m DESC, business_id LIMIT 300),
+cold AS (
+  SELECT c.c_custkey AS user_id, p.business_id FROM customer c, pool p
+  WHERE c.c_custkey NOT IN (SELECT user_id FROM r)),
+cands AS (SELECT * FROM warm WHERE user_id IN (SELECT c_custkey FROM customer)
+          UNION ALL SELECT * FROM cold),
+g AS (SELECT avg(stars) AS g FROM r),
+um AS (SELECT user_id, avg(stars) AS um FROM r GROUP BY 1),
+im AS (SELECT business_id, avg(stars) AS im FROM r GROUP BY 1),
+scored AS (
+  SELECT cands.user_id, cands.business_id,
+         g.g + coalesce(um.um - g.g, 0.0::DOUBLE) + coalesce(im.im - g.g, 0.0::DOUBLE) AS p
+  FROM cands CROSS JOIN g LEFT JOIN um USING (user_id) LEFT JOIN im USING (business_id)),
+top AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY p DESC, business_id) AS rank
+    FROM scored) WHERE rank <= 10)
+SELECT t.user_id, coalesce(c.c_name, 'N/A') AS user_name, t.business_id,
+       coalesce(s.s_name, 'N/A') AS business_name, coalesce(n.n_name, 'N/A') AS city,
+       coalesce(rg.r_name, 'N/A') AS state, t.p AS predicted_rating, t.rank
+FROM top t LEFT JOIN customer c ON c.c_custkey = t.user_id
+LEFT JOIN supplier s ON s.s_suppkey = t.business_id
+LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
+LEFT JOIN region rg ON rg.r_regionkey = n.n_regionkey"""
+
+TARGET_ON_REFERENCE = f"""WITH {ratings_cte()}, {DEDUP},
+g AS (SELECT avg(stars) AS g FROM r),
+um AS (SELECT user_id, avg(stars) AS um FROM r GROUP BY 1),
+im AS (SELECT business_id, avg(stars) AS im FROM r GROUP BY 1),
+req AS (SELECT a.c_custkey AS target_id, b.c_custkey AS reference_id
+        FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1),
+rows_ AS (SELECT req.target_id, req.reference_id, r.business_id
+          FROM req JOIN r ON r.user_id = req.reference_id)
+SELECT x.target_id, x.reference_id, x.business_id, coalesce(s.s_name, 'N/A') AS business_name,
+       g.g + coalesce(um.um - g.g, 0.0::DOUBLE) + coalesce(im.im - g.g, 0.0::DOUBLE)
+         AS predicted_for_target,
+       dr.stars AS ref_user_true, dt.stars AS target_true
+FROM rows_ x CROSS JOIN g
+LEFT JOIN um ON um.user_id = x.target_id
+LEFT JOIN im ON im.business_id = x.business_id
+LEFT JOIN d dr ON dr.user_id = x.reference_id AND dr.business_id = x.business_id
+LEFT JOIN d dt ON dt.user_id = x.target_id AND dt.business_id = x.business_id
+LEFT JOIN supplier s ON s.s_suppkey = x.business_id"""
+
+ORACLE.update({
+    "business_features": f"""WITH {PART_BUSINESS}
+SELECT business_id, name, city, state, {BUSINESS_FEATURE_LIST} FROM biz""",
+
+    "user_features": f"""WITH {USERS} SELECT * FROM usr""",
+
+    "feature_table": f"""WITH {USERS}, {SUPPLIER_BUSINESS}, {features_cte('ft', 'train')}
+SELECT * FROM ft""",
+
+    "onehot_levels": f"""WITH {USERS}, {SUPPLIER_BUSINESS}, {features_cte('ft', 'train')},
+{_levels_cte()}
+SELECT "column", level, position, feature FROM levels""",
+
+    "onehot_fitted": _onehot_fitted(),
+
+    "batch_predictions": f"""WITH {BIAS}
+SELECT user_id, business_id, pred_rating AS prediction FROM res""",
+
+    "rmse": f"""WITH {BIAS}
+SELECT round(sqrt(avg((pred_rating - true_rating) * (pred_rating - true_rating))), 9) AS rmse,
+       count(*) AS n FROM res""",
+
+    "error_histogram": f"""WITH {BIAS},
+e AS (SELECT abs(pred_rating - true_rating) AS err FROM res),
+b AS (SELECT * FROM (VALUES (0, '0-1', 0.0::DOUBLE, 1.0::DOUBLE), (1, '1-2', 1.0, 2.0),
+                            (2, '2-3', 2.0, 3.0), (3, '3-4', 3.0, 4.0),
+                            (4, '4+', 4.0, NULL)) t(i, bucket, lo, hi))
+SELECT b.bucket, CAST(count(e.err) AS BIGINT) AS count,
+       count(e.err) / (SELECT count(*) FROM e) * 100.0::DOUBLE AS percent
+FROM b LEFT JOIN e ON e.err >= b.lo AND (b.hi IS NULL OR e.err < b.hi)
+GROUP BY b.i, b.bucket""",
+
+    "high_error": f"""WITH {BIAS}
+SELECT user_id, business_id, pred_rating AS predicted, true_rating AS actual,
+       abs(pred_rating - true_rating) AS error
+FROM res WHERE abs(pred_rating - true_rating) >= 3.0""",
+
+    "top_predicted": f"""WITH {BIAS}
+SELECT user_id, business_id, pred_rating, true_rating, user_name, business_name
+FROM res ORDER BY pred_rating DESC, user_id, business_id LIMIT 10""",
+
+    "low_error_sample": f"""WITH {BIAS},
+iv AS (SELECT * FROM (VALUES {IV_VALUES}) t(pos, lo, hi, interval)),
+hit AS (
+  SELECT res.*, abs(pred_rating - true_rating) AS error, iv.pos, iv.interval
+  FROM res JOIN iv ON pred_rating >= iv.lo AND pred_rating < iv.hi
+  WHERE abs(pred_rating - true_rating) < 0.1),
+rk AS (
+  SELECT *, row_number() OVER (PARTITION BY pos ORDER BY error, {ORD_ASC}) AS rn FROM hit)
+SELECT user_id, business_id, pred_rating, true_rating, user_name, business_name, error, interval,
+       CAST(pos AS BIGINT) AS interval_pos, rn AS rank_in_interval
+FROM rk WHERE rn <= 3""",
+
+    "score_pairs": f"""WITH {BIAS},
+last AS (
+  SELECT user_id, business_id, stars AS actual_rating FROM (
+    SELECT user_id, business_id, stars,
+           row_number() OVER (PARTITION BY user_id, business_id ORDER BY {ORD_DESC}) AS rn
+    FROM v) WHERE rn = 1)
+SELECT raw.user_id, coalesce(c.c_name, 'N/A') AS user_name, raw.business_id,
+       coalesce(s.s_name, 'N/A') AS business_name, raw.raw_pred AS predicted_rating,
+       last.actual_rating
+FROM raw LEFT JOIN customer c ON c.c_custkey = raw.user_id
+LEFT JOIN supplier s ON s.s_suppkey = raw.business_id
+LEFT JOIN last USING (user_id, business_id)""",
+
+    "recommend": RECOMMEND,
+    "target_on_reference": TARGET_ON_REFERENCE,
+})
