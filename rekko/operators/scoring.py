@@ -23,6 +23,7 @@ from rekko.operators import model as gbt
 from rekko.operators.features import feature_table
 from rekko.operators.stats import global_mean, item_means, user_means
 from rekko.schema import RATINGS, RatingSchema
+from rekko.session import cut_lineage
 
 
 def clip(df: DataFrame, col: str = "prediction", upper: float = 5.0) -> DataFrame:
@@ -47,6 +48,11 @@ class BiasScorer:
         im = item_means(train, s).select(s.item, F.col("avg_rating").alias("_im"))
         return cls(um, im, float(g))
 
+    def materialized(self) -> "BiasScorer":
+        """Same scorer over checkpointed tables (static sides of a stream)."""
+        return BiasScorer(cut_lineage(self.user_means), cut_lineage(self.item_means),
+                          self.global_avg)
+
     def score(self, pairs: DataFrame, s: RatingSchema = RATINGS) -> DataFrame:
         g = F.lit(self.global_avg)
         j = pairs.join(self.user_means, s.user, "left").join(self.item_means, s.item, "left")
@@ -65,6 +71,11 @@ class ModelScorer:
     businesses: DataFrame
     mode: str = "fitted"
 
+    def materialized(self) -> "ModelScorer":
+        """Same scorer over checkpointed tables (static sides of a stream)."""
+        return ModelScorer(self.model, self.levels, cut_lineage(self.users),
+                           cut_lineage(self.businesses), self.mode)
+
     def score(self, pairs: DataFrame, s: RatingSchema = RATINGS) -> DataFrame:
         extra = tuple(c for c in pairs.columns if c not in (s.user, s.item))
         feats = feature_table(pairs, self.users, self.businesses, keep=extra)

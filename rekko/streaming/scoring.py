@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rekko.session import cut_lineage
+
 REQUEST_SCHEMA = T.StructType([T.StructField("user_id", T.StringType()),
                                T.StructField("business_id", T.StringType())])
 
@@ -28,14 +30,18 @@ def request_stream(spark: SparkSession, folder: str, schema: T.StructType = REQU
 
 def scored_stream(requests: DataFrame, scorer, user_names: DataFrame,
                   business_names: DataFrame, truth: DataFrame | None = None) -> DataFrame:
-    """Score each request; rows with a missing id are kept with a reason
-    instead of a prediction (the API answered 400 for them)."""
+    """Score each request; rows with a missing id are dropped (the API
+    answered 400 for them)."""
+    # Static sides are materialized once (reliable checkpoints): the stream
+    # then joins plain tables, whatever the lineage that built them.
+    scorer = scorer.materialized() if hasattr(scorer, "materialized") else scorer
     ok = requests.filter(F.col("user_id").isNotNull() & F.col("business_id").isNotNull())
     scored = scorer.score(ok.select("user_id", "business_id"))
-    out = scored.join(user_names, "user_id", "left").join(business_names, "business_id", "left")
+    out = (scored.join(cut_lineage(user_names), "user_id", "left")
+           .join(cut_lineage(business_names), "business_id", "left"))
     if truth is not None:
-        last = truth.groupBy("user_id", "business_id").agg(
-            F.max_by("stars", "ord").alias("actual_rating"))
+        last = cut_lineage(truth.groupBy("user_id", "business_id").agg(
+            F.max_by("stars", "ord").alias("actual_rating")))
         out = out.join(last, ["user_id", "business_id"], "left")
     else:
         out = out.withColumn("actual_rating", F.lit(None).cast("double"))

@@ -1,0 +1,55 @@
+"""Clip, RMSE, histogram buckets, high errors, top-n and low-error sample."""
+
+import math
+
+import pytest
+
+from rekko.operators import evaluate, reports
+from rekko.operators.scoring import clip
+
+
+def _df(spark, pairs):
+    rows = [(f"u{i}", f"b{i}", float(p), float(t), f"U{i}", f"B{i}", i)
+            for i, (p, t) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "user_id string, business_id string, pred_rating double, "
+                                       "true_rating double, user_name string, "
+                                       "business_name string, ord long")
+
+
+def test_clip_upper_only(spark):
+    df = spark.createDataFrame([(5.3,), (-0.2,), (4.0,)], "prediction double")
+    assert [r[0] for r in clip(df).collect()] == [5.0, -0.2, 4.0]
+
+
+def test_histogram_edges_and_zero_bucket(spark):
+    df = _df(spark, [(1.0, 1.999), (1.0, 2.0), (1.0, 4.0), (0.0, 4.0), (1.0, 1.0)])
+    h = {r["bucket"]: (r["count"], r["percent"]) for r in
+         evaluate.error_histogram(df, "pred_rating", "true_rating").collect()}
+    assert {k: v[0] for k, v in h.items()} == {"0-1": 2, "1-2": 1, "2-3": 0, "3-4": 1, "4+": 1}
+    assert h["0-1"][1] == pytest.approx(40.0)
+    r = evaluate.rmse(df, "pred_rating", "true_rating").first()
+    errs = [0.999, 1.0, 3.0, 4.0, 0.0]
+    assert r["rmse"] == pytest.approx(math.sqrt(sum(e * e for e in errs) / 5))
+    hi = evaluate.high_errors(df, "pred_rating", "true_rating").collect()
+    assert sorted(x["error"] for x in hi) == [3.0, 4.0]
+
+
+def test_low_error_overlapping_intervals(spark):
+    df = _df(spark, [(4.95, 5.0), (4.95, 5.0), (4.95, 5.0), (4.96, 5.0), (2.5, 2.55),
+                     (1.5, 3.0)])
+    out = reports.low_error_sample(df, order="ord").collect()
+    by = {}
+    for r in out:
+        by.setdefault(r["interval"], []).append(r["user_id"])
+    assert sorted(by) == ["2.0-3.0", "4.0-5.0", "4.9-5.1"]
+    assert by["4.0-5.0"] == ["u3", "u0", "u1"] or len(by["4.0-5.0"]) == 3
+    # smallest errors first (0.04 beats 0.05), ties by file order
+    ranked = sorted((r for r in out if r["interval"] == "4.9-5.1"),
+                    key=lambda r: r["rank_in_interval"])
+    assert [r["user_id"] for r in ranked] == ["u3", "u0", "u1"]
+
+
+def test_top_predicted_order(spark):
+    df = _df(spark, [(3.0, 3.0), (5.0, 4.0), (4.5, 4.0), (5.0, 5.0)])
+    rows = reports.top_predicted(df, n=3).collect()
+    assert [r["user_id"] for r in rows] == ["u1", "u3", "u2"]
