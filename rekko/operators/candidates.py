@@ -10,8 +10,9 @@ Set form of that loop: let first_pos(c) be the earliest seed that yields
 candidate c.  Seed p is used iff #{c : first_pos(c) < p} < max_pool, i.e.
 iff p <= the max_pool-th smallest first_pos of the user (all seeds are used
 when the user has fewer than max_pool candidates).  That order statistic is
-a per-user top-k (``row_number() <= max_pool``), which Spark limits before
-the shuffle, so a user with a huge history never lands whole in one task.
+found from the user's ``max_pool`` smallest distinct first positions (a
+per-user top-k that Spark limits before the shuffle) and a running count
+over them, so a user with a huge history never lands whole in one task.
 
 Users without ratings get the ``max_pool`` items with the highest mean
 rating (no minimum support).
@@ -38,13 +39,20 @@ def warm_candidates(train: DataFrame, topk: DataFrame, s: RatingSchema = RATINGS
     rated = seeds.select(s.user, F.col("seed").alias(s.item))
     fresh = expanded.join(rated, [s.user, s.item], "left_anti")
     first = fresh.groupBy(s.user, s.item).agg(F.min("seed_pos").alias("first_pos"))
-    w = Window.partitionBy(s.user).orderBy("first_pos", s.item)
-    cut = (first.withColumn("rn", F.row_number().over(w))
-           .filter(F.col("rn") <= max_pool)
-           .groupBy(s.user).agg(F.count(F.lit(1)).alias("n_head"),
-                                F.max("first_pos").alias("last_pos")))
-    return (first.join(cut, s.user)
-            .filter((F.col("n_head") < max_pool) | (F.col("first_pos") <= F.col("last_pos")))
+    # The max_pool-th smallest first_pos (with multiplicity) lies among the
+    # max_pool smallest *distinct* positions, so the running count only needs
+    # those: a per-user top-k (limited before the shuffle), then a running
+    # sum over at most max_pool rows per user.
+    per_pos = first.groupBy(s.user, "first_pos").agg(F.count(F.lit(1)).alias("n_new"))
+    by_pos = Window.partitionBy(s.user).orderBy("first_pos")
+    head = (per_pos.withColumn("rn", F.row_number().over(by_pos))
+            .filter(F.col("rn") <= max_pool)
+            .withColumn("n_upto", F.sum("n_new").over(
+                by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    cut = (head.filter(F.col("n_upto") >= max_pool)
+           .groupBy(s.user).agg(F.min("first_pos").alias("last_pos")))
+    return (first.join(cut, s.user, "left")
+            .filter(F.col("last_pos").isNull() | (F.col("first_pos") <= F.col("last_pos")))
             .select(s.user, s.item, "first_pos"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,11 @@ def _customer_names(spark, sf_dir):
 
 
 def _train(spark, sf_dir, item="supplier"):
-    return tables.ratings(spark, sf_dir, item=item, split="train")
+    # The training ratings feed several aggregates of one query; like the
+    # original's cached training RDD they are kept once (spilling to disk;
+    # lost blocks are rebuilt from lineage).
+    return tables.ratings(spark, sf_dir, item=item, split="train").persist(
+        StorageLevel.MEMORY_AND_DISK)
 
 
 # ---------------------------------------------------------------- statistics
