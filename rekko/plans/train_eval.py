@@ -17,6 +17,7 @@ import sys
 import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,8 +73,11 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
     f_train = feature_table(tr, inputs.users, inputs.businesses, keep=("label",))
     f_val = feature_table(va, inputs.users, inputs.businesses, keep=("label", "ord"))
     levels = encoding.fit(f_train)
-    x_train = encoding.apply(f_train, levels, keep=("user_id", "business_id", "label"))
-    x_val = encoding.apply(f_val, levels, keep=("user_id", "business_id", "label", "ord"))
+    # Read by every boosting budget and by scoring: keep them (spill to disk).
+    x_train = encoding.apply(f_train, levels, keep=("user_id", "business_id", "label")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    x_val = encoding.apply(f_val, levels, keep=("user_id", "business_id", "label", "ord")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     phase["features"] = time.time() - t0
 
     # 2) model (M6, M7) or a saved one
