@@ -84,6 +84,12 @@ class ModelScorer:
             s.user, s.item, *extra, "prediction")
 
 
+def display_round(df: DataFrame, cols: tuple[str, ...] = ("predicted_rating", "actual_rating"),
+                  digits: int = 2) -> DataFrame:
+    """Ratings rounded for display (half-up on the decimal value)."""
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def score_pairs(requests: DataFrame, scorer, user_names: DataFrame, business_names: DataFrame,
                 truth: DataFrame | None = None, s: RatingSchema = RATINGS) -> DataFrame:
     """``(user_id, user_name, business_id, business_name,

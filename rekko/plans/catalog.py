@@ -330,4 +330,32 @@ def q_train_predict(spark, sf_dir):
     return pred.select("user_id", "business_id", "prediction")
 
 
+def q_sample_items(spark, sf_dir):
+    """U4: the distinct items of the first-rows sample."""
+    return q_first_item_sample(spark, sf_dir).select("business_id").distinct()
+
+
+def q_recommend_model(spark, sf_dir):
+    """M14 with the boosted-tree scorer (rows-only check)."""
+    from rekko.operators import encoding
+    from rekko.operators import model as gbt
+    from rekko.operators.recommend import recommend
+    from rekko.operators.scoring import ModelScorer
+    f_train = _features(spark, sf_dir, "train")
+    f_val = _features(spark, sf_dir, "validation")
+    levels = encoding.fit(f_train)
+    keep = ("user_id", "business_id", "label")
+    m = gbt.train(encoding.apply(f_train, levels, keep=keep),
+                  encoding.apply(f_val, levels, keep=keep), levels.columns, "label",
+                  QUERY_MODEL_PARAMS)
+    users = _users(spark, sf_dir)
+    scorer = ModelScorer(m, levels, users, _business(spark, sf_dir))
+    train = _train(spark, sf_dir)
+    topk = sim.item_topk(train, topk=50, min_cousers=20)
+    return recommend(tables.customers(spark, sf_dir), train, topk, scorer,
+                     _customer_names(spark, sf_dir), _places(spark, sf_dir), k=10)
+
+
 QUERIES["train_predict"] = q_train_predict
+QUERIES["sample_items"] = q_sample_items
+QUERIES["recommend_model"] = q_recommend_model

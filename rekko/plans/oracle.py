@@ -428,6 +428,11 @@ FROM raw LEFT JOIN customer c ON c.c_custkey = raw.user_id
 LEFT JOIN supplier s ON s.s_suppkey = raw.business_id
 LEFT JOIN last USING (user_id, business_id)""",
 
+    "sample_items": f"""WITH {ratings_cte(split='validation')},
+f AS (SELECT * FROM r ORDER BY {ORD_ASC} LIMIT 100)
+SELECT DISTINCT arg_min(business_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS business_id
+FROM f GROUP BY user_id""",
+
     "recommend": RECOMMEND,
     "target_on_reference": TARGET_ON_REFERENCE,
 })

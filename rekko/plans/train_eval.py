@@ -25,7 +25,7 @@ from rekko.operators import encoding, evaluate, reports
 from rekko.operators import model as gbt
 from rekko.operators import similarity as sim
 from rekko.operators.features import feature_table, with_photos
-from rekko.operators.stats import global_mean, item_means, user_means
+from rekko.operators.stats import counts_with_names, global_mean, item_means, user_means
 from rekko.session import cut_lineage
 from rekko.sinks.writers import write_csv
 from rekko.sources import artifacts, files, tables
@@ -131,6 +131,13 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
         "onehot_levels": levels.to_frame(spark),
     })
     phase["similarity"] = time.time() - t3
+
+    # 6) most active users / most rated businesses (K6)
+    write_csv(counts_with_names(inputs.train, "user_id", inputs.users, "name"),
+              os.path.join(out_dir, "top5_users"), order_by=[F.desc("rating_count"), "user_id"])
+    write_csv(counts_with_names(inputs.train, "business_id", inputs.businesses, "name"),
+              os.path.join(out_dir, "top5_businesses"),
+              order_by=[F.desc("rating_count"), "business_id"])
     return {"rmse": m["rmse"], "n_validation": m["n"], "constant_mean_rmse": baseline,
             "error_distribution": hist, "high_error_cases": n_high,
             "rounds": model.rounds, "phase_seconds": phase, "runtime": time.time() - t0}

@@ -53,3 +53,11 @@ def test_top_predicted_order(spark):
     df = _df(spark, [(3.0, 3.0), (5.0, 4.0), (4.5, 4.0), (5.0, 5.0)])
     rows = reports.top_predicted(df, n=3).collect()
     assert [r["user_id"] for r in rows] == ["u1", "u3", "u2"]
+
+
+def test_display_round(spark):
+    from rekko.operators.scoring import display_round
+    df = spark.createDataFrame([("u", 3.14159, 2.675, "x")],
+                               "user_id string, predicted_rating double, actual_rating double, n string")
+    r = display_round(df).first()
+    assert (r["predicted_rating"], r["actual_rating"], r["n"]) == (3.14, 2.68, "x")

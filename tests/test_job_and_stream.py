@@ -49,6 +49,12 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
     top = spark.read.option("header", True).csv(os.path.join(out, "top_predicted_10"))
     assert top.columns == ["user_id", "business_id", "pred_rating", "true_rating",
                            "user_name", "business_name"] and top.count() == 10
+    top5 = spark.read.option("header", True).csv(os.path.join(out, "top5_users"))
+    assert top5.columns == ["user_id", "rating_count", "name"] and top5.count() == 5
+    counts = [int(r["rating_count"]) for r in top5.collect()]
+    assert counts == sorted(counts, reverse=True)
+    assert spark.read.option("header", True).csv(
+        os.path.join(out, "top5_businesses")).count() == 5
     art = os.path.join(out, "artifacts")
     tk = artifacts.load(spark, art, "item_topk")
     assert tk is not None and tk.count() > 0

@@ -41,7 +41,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_model():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"train_predict"}
+    assert set(E.queries()) - set(E.oracle_sql()) == {"train_predict", "recommend_model"}
 
 
 def test_entry_smoke(spark):
