@@ -1,0 +1,62 @@
+"""Property checks on random inputs (hypothesis) and output invariants."""
+
+from collections import defaultdict
+
+from hypothesis import given, settings, HealthCheck
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from conftest import SF001
+from rekko.operators import candidates as cand
+from rekko.operators import similarity as sim
+from rekko.sources import tables
+from test_candidates import loop_candidates
+from test_similarity import brute_force
+
+ratings_st = st.lists(st.tuples(st.integers(0, 7), st.integers(0, 9), st.integers(1, 5)),
+                      min_size=1, max_size=80)
+
+
+def _df(spark, rows):
+    return spark.createDataFrame([(u, i, float(s), o) for o, (u, i, s) in enumerate(rows)],
+                                 "user_id long, business_id long, stars double, ord long")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ratings_st, light=st.integers(0, 4), min_co=st.integers(1, 3))
+def test_similarity_random(spark, rows, light, min_co):
+    want = brute_force([(u, i, float(s), o) for o, (u, i, s) in enumerate(rows)], min_co)
+    got = {(r["a"], r["b"]): r["sim"] for r in sim.pair_similarity(
+        sim.co_rating_sums(_df(spark, rows), min_raters=min_co, light_degree=light,
+                           block_items=3, chunk_users=3), min_co).collect()}
+    assert set(got) == set(want)
+    for k, (s, _) in want.items():
+        assert abs(got[k] - s) < 1e-9
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ratings_st, data=st.data(), per_item_k=st.integers(1, 4), max_pool=st.integers(1, 6))
+def test_candidates_random(spark, rows, data, per_item_k, max_pool):
+    items = sorted({i for _, i, _ in rows})
+    lists = {i: data.draw(st.lists(st.sampled_from(range(10)), unique=True, max_size=6)
+                          .map(lambda xs, i=i: [x for x in xs if x != i])) for i in items}
+    tk = spark.createDataFrame(
+        [(i, o, 1.0, 1.0, 1, r + 1) for i, os in lists.items() for r, o in enumerate(os)],
+        "business_id long, other_id long, sim double, corr double, co_users long, rank long")
+    want = loop_candidates([(u, i, float(s), o) for o, (u, i, s) in enumerate(rows)],
+                           lists, per_item_k, max_pool)
+    got = defaultdict(set)
+    for r in cand.warm_candidates(_df(spark, rows), tk, per_item_k=per_item_k,
+                                  max_pool=max_pool).collect():
+        got[r["user_id"]].add(r["business_id"])
+    assert {u: p for u, p in want.items() if p} == dict(got)
+
+
+def test_recommendations_exclude_rated_items(spark):
+    rec = E.queries()["recommend"](spark, SF001)
+    train = tables.ratings(spark, SF001, split="train")
+    assert rec.join(train, ["user_id", "business_id"], "left_semi").count() == 0
+    per_user = rec.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"),
+                                         F.max("rank").alias("r"))
+    assert per_user.filter((F.col("n") > 10) | (F.col("r") != F.col("n"))).count() == 0
