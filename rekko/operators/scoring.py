@@ -18,9 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rekko.operators import encoding
 from rekko.operators import model as gbt
-from rekko.operators.features import feature_table
+from rekko.operators.features import FeaturePipeline
 from rekko.operators.stats import global_mean, item_means, user_means
 from rekko.schema import RATINGS, RatingSchema
 from rekko.session import cut_lineage
@@ -62,24 +61,20 @@ class BiasScorer:
 
 @dataclass
 class ModelScorer:
-    """The rating model over the feature table (users and businesses are
-    the parsed user / business DataFrames)."""
+    """The rating model over a fitted :class:`FeaturePipeline`."""
 
     model: gbt.TrainedModel
-    levels: encoding.Levels
-    users: DataFrame
-    businesses: DataFrame
-    mode: str = "fitted"
+    features: FeaturePipeline
 
     def materialized(self) -> "ModelScorer":
         """Same scorer over checkpointed tables (static sides of a stream)."""
-        return ModelScorer(self.model, self.levels, cut_lineage(self.users),
-                           cut_lineage(self.businesses), self.mode)
+        fp = self.features
+        return ModelScorer(self.model, FeaturePipeline(
+            cut_lineage(fp.users), cut_lineage(fp.businesses), fp.levels, fp.mode))
 
     def score(self, pairs: DataFrame, s: RatingSchema = RATINGS) -> DataFrame:
         extra = tuple(c for c in pairs.columns if c not in (s.user, s.item))
-        feats = feature_table(pairs, self.users, self.businesses, keep=extra)
-        x = encoding.apply(feats, self.levels, self.mode, keep=(s.user, s.item, *extra))
+        x = self.features.transform(pairs, keep=extra)
         return gbt.predict(self.model, x, clip=False).select(
             s.user, s.item, *extra, "prediction")
 

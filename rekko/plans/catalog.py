@@ -316,17 +316,25 @@ QUERIES.update({
 QUERY_MODEL_PARAMS = {"maxIter": 10}
 
 
+def _fitted_model(spark, sf_dir):
+    from rekko.operators import model as gbt
+    from rekko.operators.features import FeaturePipeline
+    train = tables.ratings(spark, sf_dir, split="train").withColumnRenamed("stars", "label")
+    val = tables.ratings(spark, sf_dir, split="validation").withColumnRenamed("stars", "label")
+    fp = FeaturePipeline(_users(spark, sf_dir), _business(spark, sf_dir)).fit(
+        train.select("user_id", "business_id"))
+    keep = ("label",)
+    pairs_t = train.select("user_id", "business_id", "label")
+    pairs_v = val.select("user_id", "business_id", "label")
+    m = gbt.train(fp.transform(pairs_t, keep), fp.transform(pairs_v, keep), fp.columns,
+                  "label", QUERY_MODEL_PARAMS)
+    return m, fp, pairs_v
+
+
 def q_train_predict(spark, sf_dir):
-    from rekko.operators import encoding
     from rekko.operators import model as gbt
-    f_train = _features(spark, sf_dir, "train")
-    f_val = _features(spark, sf_dir, "validation")
-    levels = encoding.fit(f_train)
-    keep = ("user_id", "business_id", "label")
-    m = gbt.train(encoding.apply(f_train, levels, keep=keep),
-                  encoding.apply(f_val, levels, keep=keep), levels.columns, "label",
-                  QUERY_MODEL_PARAMS)
-    pred = gbt.predict(m, encoding.apply(f_val, levels, keep=keep), clip=True)
+    m, fp, pairs_v = _fitted_model(spark, sf_dir)
+    pred = gbt.predict(m, fp.transform(pairs_v, ("label",)), clip=True)
     return pred.select("user_id", "business_id", "prediction")
 
 
@@ -337,22 +345,12 @@ def q_sample_items(spark, sf_dir):
 
 def q_recommend_model(spark, sf_dir):
     """M14 with the boosted-tree scorer (rows-only check)."""
-    from rekko.operators import encoding
-    from rekko.operators import model as gbt
     from rekko.operators.recommend import recommend
     from rekko.operators.scoring import ModelScorer
-    f_train = _features(spark, sf_dir, "train")
-    f_val = _features(spark, sf_dir, "validation")
-    levels = encoding.fit(f_train)
-    keep = ("user_id", "business_id", "label")
-    m = gbt.train(encoding.apply(f_train, levels, keep=keep),
-                  encoding.apply(f_val, levels, keep=keep), levels.columns, "label",
-                  QUERY_MODEL_PARAMS)
-    users = _users(spark, sf_dir)
-    scorer = ModelScorer(m, levels, users, _business(spark, sf_dir))
+    m, fp, _ = _fitted_model(spark, sf_dir)
     train = _train(spark, sf_dir)
     topk = sim.item_topk(train, topk=50, min_cousers=20)
-    return recommend(tables.customers(spark, sf_dir), train, topk, scorer,
+    return recommend(tables.customers(spark, sf_dir), train, topk, ModelScorer(m, fp),
                      _customer_names(spark, sf_dir), _places(spark, sf_dir), k=10)
 
 

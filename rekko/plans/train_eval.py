@@ -21,10 +21,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekko.operators import encoding, evaluate, reports
+from rekko.operators import evaluate, reports
 from rekko.operators import model as gbt
 from rekko.operators import similarity as sim
-from rekko.operators.features import feature_table, with_photos
+from rekko.operators.features import FeaturePipeline, with_photos
 from rekko.operators.stats import counts_with_names, global_mean, item_means, user_means
 from rekko.session import cut_lineage
 from rekko.sinks.writers import write_csv
@@ -67,23 +67,20 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
     model_dir = os.path.join(out_dir, "model")
     art_dir = os.path.join(out_dir, "artifacts")
 
-    # 1) features (M1, M2) and one-hot layout (M3, M4)
+    # 1) features (M1, M2) and one-hot layout (M3, M4) as one pipeline (M5)
     tr = inputs.train.select("user_id", "business_id", F.col("stars").alias("label"))
     va = inputs.validation.select("user_id", "business_id", F.col("stars").alias("label"), "ord")
-    f_train = feature_table(tr, inputs.users, inputs.businesses, keep=("label",))
-    f_val = feature_table(va, inputs.users, inputs.businesses, keep=("label", "ord"))
-    levels = encoding.fit(f_train)
+    fp = FeaturePipeline(inputs.users, inputs.businesses).fit(tr.select("user_id", "business_id"))
+    levels = fp.levels
     # Read by every boosting budget and by scoring: keep them (spill to disk).
-    x_train = encoding.apply(f_train, levels, keep=("user_id", "business_id", "label")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    x_val = encoding.apply(f_val, levels, keep=("user_id", "business_id", "label", "ord")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    x_train = fp.transform(tr, ("label",)).persist(StorageLevel.MEMORY_AND_DISK)
+    x_val = fp.transform(va, ("label", "ord")).persist(StorageLevel.MEMORY_AND_DISK)
     phase["features"] = time.time() - t0
 
     # 2) model (M6, M7) or a saved one
     t1 = time.time()
     if train_model:
-        model = gbt.train(x_train, x_val, levels.columns, "label", model_params, patience)
+        model = gbt.train(x_train, x_val, fp.columns, "label", model_params, patience)
         gbt.save(model, model_dir)
     else:
         model = gbt.load(model_dir)
