@@ -20,6 +20,7 @@ rating (no minimum support).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,7 +39,9 @@ def warm_candidates(train: DataFrame, topk: DataFrame, s: RatingSchema = RATINGS
     expanded = seeds.join(similar, "seed").select(s.user, s.item, "seed_pos")
     rated = seeds.select(s.user, F.col("seed").alias(s.item))
     fresh = expanded.join(rated, [s.user, s.item], "left_anti")
-    first = fresh.groupBy(s.user, s.item).agg(F.min("seed_pos").alias("first_pos"))
+    # Read twice (for the cut and for the final filter): keep it once.
+    first = (fresh.groupBy(s.user, s.item).agg(F.min("seed_pos").alias("first_pos"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     # The max_pool-th smallest first_pos (with multiplicity) lies among the
     # max_pool smallest *distinct* positions, so the running count only needs
     # those: a per-user top-k (limited before the shuffle), then a running

@@ -326,8 +326,10 @@ def _fitted_model(spark, sf_dir):
     keep = ("label",)
     pairs_t = train.select("user_id", "business_id", "label")
     pairs_v = val.select("user_id", "business_id", "label")
-    m = gbt.train(fp.transform(pairs_t, keep), fp.transform(pairs_v, keep), fp.columns,
-                  "label", QUERY_MODEL_PARAMS)
+    # Read by each boosting fit and by the error curve: keep them once.
+    x_t = fp.transform(pairs_t, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    x_v = fp.transform(pairs_v, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    m = gbt.train(x_t, x_v, fp.columns, "label", QUERY_MODEL_PARAMS)
     return m, fp, pairs_v
 
 

@@ -61,10 +61,12 @@ def inputs_from_tables(spark: SparkSession, sf_dir: str) -> Inputs:
 
 def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = True,
         model_params: dict | None = None, patience: int | None = gbt.EARLY_STOPPING_ROUNDS,
-        topk: int = 50, min_cousers: int = 20) -> dict:
+        topk: int = 50, min_cousers: int = 20, model_dir: str | None = None) -> dict:
+    """Run every step; ``model_dir`` defaults to ``$MODEL_PATH`` or
+    ``{out_dir}/model`` (S10)."""
     t0 = time.time()
     phase = {}
-    model_dir = os.path.join(out_dir, "model")
+    model_dir = model_dir or os.environ.get("MODEL_PATH") or os.path.join(out_dir, "model")
     art_dir = os.path.join(out_dir, "artifacts")
 
     # 1) features (M1, M2) and one-hot layout (M3, M4) as one pipeline (M5)
@@ -145,7 +147,8 @@ def main(argv: list[str]) -> None:
     data_folder = argv[1] if len(argv) > 1 else "data"
     out_dir = argv[2] if len(argv) > 2 else "output"
     spark = get_spark()
-    metrics = run(spark, inputs_from_files(spark, files.Paths(data_folder)), out_dir)
+    paths = files.Paths(data_folder=os.environ.get("DATA_FOLDER", data_folder))
+    metrics = run(spark, inputs_from_files(spark, paths), out_dir)
     print(f"RMSE: {metrics['rmse']:.6f}  runtime: {metrics['runtime']:.2f}s")
 
 
