@@ -144,11 +144,10 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
 
 def main(argv: list[str]) -> None:
     from rekko.session import get_spark
-    data_folder = argv[1] if len(argv) > 1 else "data"
+    data_folder = argv[1] if len(argv) > 1 else os.environ.get("DATA_FOLDER", "data")
     out_dir = argv[2] if len(argv) > 2 else "output"
     spark = get_spark()
-    paths = files.Paths(data_folder=os.environ.get("DATA_FOLDER", data_folder))
-    metrics = run(spark, inputs_from_files(spark, paths), out_dir)
+    metrics = run(spark, inputs_from_files(spark, files.Paths(data_folder)), out_dir)
     print(f"RMSE: {metrics['rmse']:.6f}  runtime: {metrics['runtime']:.2f}s")
 
 
