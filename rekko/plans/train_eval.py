@@ -69,6 +69,11 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
     model_dir = model_dir or os.environ.get("MODEL_PATH") or os.path.join(out_dir, "model")
     art_dir = os.path.join(out_dir, "artifacts")
 
+    # The training ratings feed features, statistics, similarities and
+    # artifacts: read and parse them once (spilling to disk).
+    inputs = Inputs(inputs.train.persist(StorageLevel.MEMORY_AND_DISK), inputs.validation,
+                    inputs.users, inputs.businesses)
+
     # 1) features (M1, M2) and one-hot layout (M3, M4) as one pipeline (M5)
     tr = inputs.train.select("user_id", "business_id", F.col("stars").alias("label"))
     va = inputs.validation.select("user_id", "business_id", F.col("stars").alias("label"), "ord")
