@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rekko.operators.stats import dedup_last, top_by_mean
@@ -68,10 +69,12 @@ def cold_candidates(users: DataFrame, train: DataFrame, s: RatingSchema = RATING
     """
     pool = [row[s.item] for row in
             top_by_mean(train, s, max_pool).orderBy("pool_rank").select(s.item).collect()]
+    item_type = train.schema[s.item].dataType
     cold = users.select(s.user).distinct().join(train.select(s.user), s.user, "left_anti")
-    if not pool:
-        return cold.select(s.user, F.lit(None).cast(train.schema[s.item].dataType).alias(s.item)).limit(0)
-    return cold.select(s.user, F.explode(F.array(*[F.lit(v) for v in pool])).alias(s.item))
+    if not pool:   # no training ratings at all: nothing to recommend
+        return cold.select(s.user, F.lit(None).cast(item_type).alias(s.item)).filter(F.lit(False))
+    ids = F.array(*[F.lit(v) for v in pool]).cast(T.ArrayType(item_type))
+    return cold.select(s.user, F.explode(ids).alias(s.item))
 
 
 def candidates(users: DataFrame, train: DataFrame, topk: DataFrame,
