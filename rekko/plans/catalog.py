@@ -356,6 +356,18 @@ def q_recommend_model(spark, sf_dir):
                      _customer_names(spark, sf_dir), _places(spark, sf_dir), k=10)
 
 
+def q_item_rating_map(spark, sf_dir):
+    """G5 in long form: item -> (user, last rating) rows."""
+    return stats.dedup_last(_train(spark, sf_dir)).select("business_id", "user_id", "stars")
+
+
+def q_cold_start_pool(spark, sf_dir):
+    """L2 on the recommendation items: the list every user without ratings gets."""
+    return stats.top_by_mean(_train(spark, sf_dir), n=300)
+
+
 QUERIES["train_predict"] = q_train_predict
+QUERIES["item_rating_map"] = q_item_rating_map
+QUERIES["cold_start_pool"] = q_cold_start_pool
 QUERIES["sample_items"] = q_sample_items
 QUERIES["recommend_model"] = q_recommend_model

@@ -433,6 +433,17 @@ f AS (SELECT * FROM r ORDER BY {ORD_ASC} LIMIT 100)
 SELECT DISTINCT arg_min(business_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS business_id
 FROM f GROUP BY user_id""",
 
+    "item_rating_map": f"""WITH {ratings_cte()}
+SELECT business_id, user_id, stars FROM (
+  SELECT user_id, business_id, stars,
+         row_number() OVER (PARTITION BY user_id, business_id ORDER BY {ORD_DESC}) AS rn
+  FROM r) WHERE rn = 1""",
+
+    "cold_start_pool": f"""WITH {ratings_cte()},
+m AS (SELECT business_id, avg(stars) AS avg_rating, count(*) AS n_ratings FROM r GROUP BY 1)
+SELECT *, row_number() OVER (ORDER BY avg_rating DESC, business_id) AS pool_rank
+FROM m ORDER BY avg_rating DESC, business_id LIMIT 300""",
+
     "recommend": RECOMMEND,
     "target_on_reference": TARGET_ON_REFERENCE,
 })
