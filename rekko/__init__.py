@@ -1,0 +1 @@
+"""rekko: rating prediction and item recommendation as Spark DataFrame jobs."""

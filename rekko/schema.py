@@ -57,28 +57,6 @@ ATTRIBUTE_KEYS = {
 
 PHOTO_SCHEMA = T.StructType([T.StructField("business_id", T.StringType())])
 
-# ``hours`` and ``attributes`` stay raw JSON text so that absent / null /
-# non-object values can be told apart (see functions.business).
-BUSINESS_SCHEMA = T.StructType([
-    T.StructField("business_id", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("state", T.StringType()),
-    T.StructField("stars", T.DoubleType()),
-    T.StructField("review_count", T.DoubleType()),
-    T.StructField("is_open", T.IntegerType()),
-])
-
-USER_SCHEMA = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("average_stars", T.DoubleType()),
-    T.StructField("review_count", T.DoubleType()),
-    T.StructField("useful", T.DoubleType()),
-    T.StructField("funny", T.DoubleType()),
-    T.StructField("cool", T.DoubleType()),
-])
-
 RATING_CSV_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("business_id", T.StringType()),
