@@ -92,3 +92,37 @@ def test_streaming_scoring(spark, data_folder, tmp_path):
     assert ghost["user_name"] == "N/A" and ghost["actual_rating"] is None
     assert all(r["predicted_rating"] is not None for r in rows)
     assert sum(r["actual_rating"] is not None for r in rows) == 20
+
+
+def test_streaming_with_model_scorer(spark, data_folder, tmp_path):
+    from rekko.operators.features import FeaturePipeline, with_photos
+    from rekko.operators.scoring import ModelScorer
+    train = files.read_ratings_csv(spark, os.path.join(data_folder, "yelp_train.csv"))
+    users = files.read_users(spark, os.path.join(data_folder, "user.json"))
+    biz = with_photos(files.read_business(spark, os.path.join(data_folder, "business.json")),
+                      files.read_photos(spark, os.path.join(data_folder, "photo.json")))
+    pairs = train.select("user_id", "business_id", F.col("stars").alias("label"))
+    fp = FeaturePipeline(users, biz).fit(pairs.select("user_id", "business_id"))
+    model = gbt.train(fp.transform(pairs, ("label",)), None, fp.columns, "label",
+                      {"maxIter": 2, "maxDepth": 3})
+    scorer = ModelScorer(model, fp)
+    batch = scorer.score(train.select("user_id", "business_id").limit(5)).collect()
+    req_dir = tmp_path / "req"
+    req_dir.mkdir()
+    (req_dir / "a.csv").write_text("user_id,business_id\n" + "\n".join(
+        f"{r['user_id']},{r['business_id']}" for r in batch) + "\n")
+    q = stream.start(stream.scored_stream(
+        stream.request_stream(spark, str(req_dir)), scorer,
+        users.select("user_id", F.col("name").alias("user_name")),
+        biz.select("business_id", F.col("name").alias("business_name"))),
+        checkpoint=str(tmp_path / "ck"), name="scored_model")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {(r["user_id"], r["business_id"]): r["predicted_rating"]
+           for r in spark.sql("SELECT * FROM scored_model").collect()}
+    want = {(r["user_id"], r["business_id"]): r["prediction"] for r in batch}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v)
