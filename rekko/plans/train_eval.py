@@ -107,9 +107,11 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
                        F.col("label").alias("true_rating"), "user_name", "business_name", "ord"))
     write_csv(reports.top_predicted(results), os.path.join(out_dir, "top_predicted_10"),
               order_by=[F.desc("pred_rating"), "user_id", "business_id"])
-    write_csv(reports.low_error_sample(results, order="ord"),
-              os.path.join(out_dir, "low_error_demo"),
-              order_by=["interval_pos", "rank_in_interval"])
+    low = reports.low_error_sample(results, order="ord")
+    # the report keeps the 8 columns of the original file, in interval order
+    write_csv(low.orderBy("interval_pos", "rank_in_interval")
+              .select(*reports.RESULT_COLUMNS, "error", "interval"),
+              os.path.join(out_dir, "low_error_demo"))
     phase["predict"] = time.time() - t2
 
     # 4) evaluation (M9): a handful of numbers come back to the driver

@@ -49,6 +49,9 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
     top = spark.read.option("header", True).csv(os.path.join(out, "top_predicted_10"))
     assert top.columns == ["user_id", "business_id", "pred_rating", "true_rating",
                            "user_name", "business_name"] and top.count() == 10
+    low = spark.read.option("header", True).csv(os.path.join(out, "low_error_demo"))
+    assert low.columns == ["user_id", "business_id", "pred_rating", "true_rating",
+                           "user_name", "business_name", "error", "interval"]
     top5 = spark.read.option("header", True).csv(os.path.join(out, "top5_users"))
     assert top5.columns == ["user_id", "rating_count", "name"] and top5.count() == 5
     counts = [int(r["rating_count"]) for r in top5.collect()]
