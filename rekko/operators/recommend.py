@@ -69,3 +69,22 @@ def target_on_reference(requests: DataFrame, train: DataFrame, scorer,
         F.coalesce("business_name", F.lit("N/A")).alias("business_name"),
         "predicted_for_target", "ref_user_true", "target_true",
     ).orderBy("target_id", "reference_id", F.desc("predicted_for_target"), s.item)
+
+
+def recommend_from_artifacts(spark, art_dir: str, users: DataFrame, scorer, k: int = 10,
+                             s: RatingSchema = RATINGS) -> DataFrame | None:
+    """M14 served from saved artifacts (S8): ratings, top-k table and names.
+
+    Returns None when the similarity table was never written, the case in
+    which the original turns the recommendation feature off.
+    """
+    from rekko.sources import artifacts
+    topk = artifacts.load(spark, art_dir, "item_topk")
+    ratings = artifacts.load(spark, art_dir, "ratings")
+    if topk is None or ratings is None:
+        return None
+    user_dim = artifacts.load(spark, art_dir, "user_dim")
+    business_dim = artifacts.load(spark, art_dir, "business_dim")
+    user_names = user_dim.select(s.user, F.col("name").alias("user_name"))
+    places = business_dim.select(s.item, F.col("name").alias("business_name"), "city", "state")
+    return recommend(users, ratings, topk, scorer, user_names, places, k=k, s=s)

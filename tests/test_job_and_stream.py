@@ -62,6 +62,14 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
     tk = artifacts.load(spark, art, "item_topk")
     assert tk is not None and tk.count() > 0
     assert artifacts.load(spark, str(tmp_path / "nope"), "item_topk") is None
+    from rekko.operators.recommend import recommend_from_artifacts
+    train = files.read_ratings_csv(spark, os.path.join(data_folder, "yelp_train.csv"))
+    users = train.select("user_id").distinct()
+    recs = recommend_from_artifacts(spark, art, users, BiasScorer.fit(train), k=3)
+    assert recs is not None and recs.count() > 0
+    assert recs.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 3
+    assert recommend_from_artifacts(spark, str(tmp_path / "nope"), users,
+                                    BiasScorer.fit(train)) is None
     model = gbt.load(os.path.join(out, "model"))
     assert model is not None and model.feature_columns
     # loaded model scores the same rows
