@@ -198,7 +198,7 @@ def q_feature_table(spark, sf_dir):
 
 def q_onehot_levels(spark, sf_dir):
     from rekko.operators import encoding
-    return encoding.fit(_features(spark, sf_dir, "train")).to_frame(spark)
+    return encoding.level_frame(_features(spark, sf_dir, "train"))
 
 
 def q_onehot_fitted(spark, sf_dir):
