@@ -28,7 +28,7 @@ def data_folder(spark, tmp_path_factory):
     photos = [json.dumps({"business_id": str(r["business_id"]), "photo_id": i})
               for i, r in enumerate(tables.photos(spark, SF001).collect())]
     (d / "photo.json").write_text("\n".join(photos) + "\n")
-    for split, fname in (("train", "yelp_train.csv"), ("validation", "yelp_val.csv")):
+    for split, fname in (("train", "train.csv"), ("validation", "validation.csv")):
         rows = tables.ratings(spark, SF001, split=split).orderBy("ord").collect()
         text = ["user_id,business_id,stars"] + [
             f"{r['user_id']},{r['business_id']},{r['stars']}" for r in rows]
@@ -63,7 +63,7 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
     assert tk is not None and tk.count() > 0
     assert artifacts.load(spark, str(tmp_path / "nope"), "item_topk") is None
     from rekko.operators.recommend import recommend_from_artifacts
-    train = files.read_ratings_csv(spark, os.path.join(data_folder, "yelp_train.csv"))
+    train = files.read_ratings_csv(spark, os.path.join(data_folder, "train.csv"))
     users = train.select("user_id").distinct()
     recs = recommend_from_artifacts(spark, art, users, BiasScorer.fit(train), k=3)
     assert recs is not None and recs.count() > 0
@@ -78,8 +78,8 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
 
 
 def test_streaming_scoring(spark, data_folder, tmp_path):
-    train = files.read_ratings_csv(spark, os.path.join(data_folder, "yelp_train.csv"))
-    val = files.read_ratings_csv(spark, os.path.join(data_folder, "yelp_val.csv"), trim=False)
+    train = files.read_ratings_csv(spark, os.path.join(data_folder, "train.csv"))
+    val = files.read_ratings_csv(spark, os.path.join(data_folder, "validation.csv"), trim=False)
     users = files.read_users(spark, os.path.join(data_folder, "user.json"))
     biz = files.read_business(spark, os.path.join(data_folder, "business.json"))
     req_dir = tmp_path / "requests"
@@ -108,7 +108,7 @@ def test_streaming_scoring(spark, data_folder, tmp_path):
 def test_streaming_with_model_scorer(spark, data_folder, tmp_path):
     from rekko.operators.features import FeaturePipeline, with_photos
     from rekko.operators.scoring import ModelScorer
-    train = files.read_ratings_csv(spark, os.path.join(data_folder, "yelp_train.csv"))
+    train = files.read_ratings_csv(spark, os.path.join(data_folder, "train.csv"))
     users = files.read_users(spark, os.path.join(data_folder, "user.json"))
     biz = with_photos(files.read_business(spark, os.path.join(data_folder, "business.json")),
                       files.read_photos(spark, os.path.join(data_folder, "photo.json")))
