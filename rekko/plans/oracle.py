@@ -16,13 +16,14 @@ def ratings_cte(name: str = "r", item: str = "l_suppkey", split: str = "train")
     return f"""{name} AS (
   SELECT o_custkey AS user_id, {item} AS business_id,
          CAST(1 + CAST(floor(l_quantity) AS INTEGER) % 5 AS DOUBLE) AS stars,
-         l_orderkey, l_linenumber, l_partkey, l_suppkey
+         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   {where})"""
 
 
-ORD_ASC = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
-ORD_DESC = "l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC"
+ORD_ASC = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
+ORD_DESC = ("l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, "
+            "l_quantity DESC")
 
 # last rating per (user, item), plus the item means over all rows
 DEDUP = f"""d AS (
@@ -147,7 +148,7 @@ FROM t LEFT JOIN supplier s ON s.s_suppkey = t.business_id""",
 
     "first_item_sample": f"""WITH {ratings_cte(split='validation')},
 f AS (SELECT * FROM r ORDER BY {ORD_ASC} LIMIT 100)
-SELECT user_id, arg_min(business_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS business_id
+SELECT user_id, arg_min(business_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)) AS business_id
 FROM f GROUP BY user_id""",
 
     "co_rating_sums": f"""WITH {ratings_cte()}, {DEDUP}, {sums_cte(1)},
@@ -285,7 +286,7 @@ raw AS (
 res AS (
   SELECT raw.user_id, raw.business_id, least(raw_pred, 5.0::DOUBLE) AS pred_rating,
          raw.stars AS true_rating, c.c_name AS user_name, s.s_name AS business_name,
-         l_orderkey, l_linenumber, l_partkey, l_suppkey
+         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
   FROM raw LEFT JOIN customer c ON c.c_custkey = raw.user_id
   LEFT JOIN supplier s ON s.s_suppkey = raw.business_id)"""
 
@@ -430,7 +431,7 @@ LEFT JOIN last USING (user_id, business_id)""",
 
     "sample_items": f"""WITH {ratings_cte(split='validation')},
 f AS (SELECT * FROM r ORDER BY {ORD_ASC} LIMIT 100)
-SELECT DISTINCT arg_min(business_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS business_id
+SELECT DISTINCT arg_min(business_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)) AS business_id
 FROM f GROUP BY user_id""",
 
     "item_rating_map": f"""WITH {ratings_cte()}
