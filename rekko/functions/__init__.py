@@ -1,0 +1 @@
+"""Column functions: JSON feature rules as built-in Spark expressions."""

@@ -1,0 +1 @@
+"""Sinks: CSV reports and parquet tables."""

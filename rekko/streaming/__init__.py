@@ -1,0 +1 @@
+"""Streaming: request-pair scoring as a Structured Streaming query."""
