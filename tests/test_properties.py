@@ -62,3 +62,78 @@ def test_recommendations_exclude_rated_items(spark):
     per_user = rec.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"),
                                          F.max("rank").alias("r"))
     assert per_user.filter((F.col("n") > 10) | (F.col("r") != F.col("n"))).count() == 0
+
+
+def _expected_business(b):
+    """Restatement of the documented JSON rules, for random inputs."""
+    import ast
+    hours = b.get("hours", None)
+    if hours is None:
+        days = 7
+    elif not isinstance(hours, dict):
+        days = 0
+    else:
+        days = len(hours) or 7
+    attrs = b.get("attributes")
+
+    def text(v):
+        if v is None:
+            return None
+        if isinstance(v, bool):
+            return "True" if v else "False"
+        return str(v)
+    get = (lambda k: attrs.get(k)) if isinstance(attrs, dict) else (lambda k: None)
+    price = get("RestaurantsPriceRange2")
+    if isinstance(price, str):
+        try:
+            price = float(int(price))
+        except ValueError:
+            price = 2.0
+    elif price is None:
+        price = 2.0
+    card = get("BusinessAcceptsCreditCards")
+    parking = get("BusinessParking")
+    validated = None
+    if parking:
+        try:
+            v = ast.literal_eval(parking)
+            validated = text(v.get("validated")) if isinstance(v, dict) else None
+        except (ValueError, SyntaxError):
+            validated = None
+    return {"operation_days": days, "price_range": float(price),
+            "credit_card": int(card == "True" or card is True),
+            "validated": validated, "wifi": text(get("HasTV")),
+            "noise_level": text(get("NoiseLevel"))}
+
+
+_attr_value = st.sampled_from(["True", "False", True, False, "None", "u'quiet'", None])
+_business = st.fixed_dictionaries(
+    {"business_id": st.uuids().map(str), "stars": st.sampled_from([1.0, 3.5, 5.0]),
+     "review_count": st.integers(0, 99), "is_open": st.integers(0, 1)},
+    optional={
+        "hours": st.one_of(st.none(), st.just("x"), st.lists(st.integers(), max_size=2),
+                           st.dictionaries(st.sampled_from(["Mon", "Tue", "Wed"]),
+                                           st.just("9-5"))),
+        "attributes": st.one_of(st.none(), st.fixed_dictionaries({}, optional={
+            "RestaurantsPriceRange2": st.sampled_from(["1", " 2 ", "None", "2.7", 4, None]),
+            "BusinessAcceptsCreditCards": _attr_value,
+            "HasTV": _attr_value, "NoiseLevel": _attr_value,
+            "BusinessParking": st.sampled_from(["", "{'validated': True}",
+                                                "{'garage': False, 'validated': False}",
+                                                "{'garage': True}", "{broken"])})),
+    })
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(businesses=st.lists(_business, min_size=1, max_size=25,
+                           unique_by=lambda b: b["business_id"]))
+def test_business_rules_random(spark, tmp_path_factory, businesses):
+    import json
+    from rekko.sources import files
+    path = tmp_path_factory.mktemp("biz") / "b.json"
+    path.write_text("\n".join(json.dumps(b) for b in businesses) + "\n")
+    got = {r["business_id"]: r for r in files.read_business(spark, str(path)).collect()}
+    for b in businesses:
+        want = _expected_business(b)
+        row = got[b["business_id"]]
+        assert {k: row[k] for k in want} == want, b
