@@ -137,3 +137,27 @@ def test_business_rules_random(spark, tmp_path_factory, businesses):
         want = _expected_business(b)
         row = got[b["business_id"]]
         assert {k: row[k] for k in want} == want, b
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pairs=st.lists(st.tuples(st.sampled_from([0.95, 1.5, 1.96, 2.0, 2.04, 3.99, 4.0, 4.93,
+                                                 4.95, 5.0, 5.05]),
+                                st.sampled_from([1.0, 2.0, 3.0, 4.0, 5.0])),
+                      min_size=1, max_size=40))
+def test_low_error_sample_random(spark, pairs):
+    from rekko.operators import reports
+    rows = [(f"u{i}", f"b{i}", p, t, "U", "B", i) for i, (p, t) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "user_id string, business_id string, pred_rating double, "
+                                     "true_rating double, user_name string, "
+                                     "business_name string, ord long")
+    got = {}
+    for r in reports.low_error_sample(df, order="ord").collect():
+        got.setdefault(r["interval"], []).append((r["rank_in_interval"], r["user_id"]))
+    want = {}
+    for lo, hi in reports.INTERVALS:
+        hits = [(abs(p - t), i) for i, (p, t) in enumerate(pairs)
+                if lo <= p < hi and abs(p - t) < 0.1]
+        hits.sort()
+        if hits:
+            want[f"{lo}-{hi}"] = [(k + 1, f"u{i}") for k, (_, i) in enumerate(hits[:3])]
+    assert {k: sorted(v) for k, v in got.items()} == want
