@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rekko.operators import candidates as cand
 from rekko.operators import similarity as sim
 from rekko.operators import stats
+from rekko.session import adaptive_cache
 from rekko.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,7 @@ def _customer_names(spark, sf_dir):
 
 
 def _train(spark, sf_dir, item="supplier"):
+    adaptive_cache(spark)
     # The training ratings feed several aggregates of one query; like the
     # original's cached training RDD they are kept once (spilling to disk;
     # lost blocks are rebuilt from lineage).
@@ -317,6 +319,7 @@ QUERY_MODEL_PARAMS = {"maxIter": 10}
 
 
 def _fitted_model(spark, sf_dir):
+    adaptive_cache(spark)
     from rekko.operators import model as gbt
     from rekko.operators.features import FeaturePipeline
     train = tables.ratings(spark, sf_dir, split="train").withColumnRenamed("stars", "label")

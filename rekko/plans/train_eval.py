@@ -26,7 +26,7 @@ from rekko.operators import model as gbt
 from rekko.operators import similarity as sim
 from rekko.operators.features import FeaturePipeline, with_photos
 from rekko.operators.stats import counts_with_names, global_mean, item_means, user_means
-from rekko.session import cut_lineage
+from rekko.session import adaptive_cache, cut_lineage
 from rekko.sinks.writers import write_csv
 from rekko.sources import artifacts, files, tables
 
@@ -64,6 +64,7 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
         topk: int = 50, min_cousers: int = 20, model_dir: str | None = None) -> dict:
     """Run every step; ``model_dir`` defaults to ``$MODEL_PATH`` or
     ``{out_dir}/model`` (S10)."""
+    adaptive_cache(spark)
     t0 = time.time()
     phase = {}
     model_dir = model_dir or os.environ.get("MODEL_PATH") or os.path.join(out_dir, "model")
