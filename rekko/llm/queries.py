@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rekko.llm import ann, packing, pii, sentencepiece_bpe, simhash, token_counts, topk
+from rekko.llm import (ann, packing, pii, sentence_spans, sentencepiece_bpe, simhash, token_counts, topk,
+                       toxicity)
 from rekko.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -34,6 +36,11 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), k=20, query_every=20)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -47,8 +54,13 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op4_token_counts, op5_ann, op7_pii, op8_packing,
-                                   op9_topk)}
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentence_spans.dedup_sentences(table(spark, sf_dir, "documents"), span=3)
+    return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op4_token_counts, op5_ann, op6_toxicity, op7_pii,
+                                   op8_packing, op9_topk, op10_sentence_spans)}
 
 ORACLE = {
     "op9_topk": """
@@ -63,4 +75,31 @@ ORACLE = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_sentence_spans": r"""
+        WITH p AS (
+            SELECT doc_id, unnest(s) AS piece, generate_subscripts(s, 1) AS i FROM (
+                SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n][.!?\n \t]*|[^.!?\n]+') AS s
+                FROM documents)
+        ), f AS (
+            SELECT doc_id, i, trim(piece, E' \t\n') AS clean,
+                row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, count(*) OVER (PARTITION BY doc_id) AS total
+            FROM p WHERE trim(piece, E' \t\n') <> ''
+        ), r AS (
+            SELECT doc_id, n, total, concat_ws(chr(10), clean, lead(clean, 1) OVER w, lead(clean, 2) OVER w) AS run
+            FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+        ), l AS (
+            SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place
+            FROM r WHERE n <= greatest(1, total - 2)
+        ), g AS (
+            SELECT DISTINCT f.doc_id, f.i FROM f JOIN l ON f.doc_id = l.doc_id AND f.n BETWEEN l.n AND l.n + 2
+            WHERE l.place > 1
+        ), k AS (
+            SELECT p.doc_id, coalesce(string_agg(piece, '' ORDER BY p.i) FILTER (WHERE g.i IS NULL), '') AS kept
+            FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY 1
+        )
+        SELECT doc_id, coalesce(s.n, 0)::BIGINT AS n_sentences, coalesce(h.n, 0)::BIGINT AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN k USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM f GROUP BY 1) s USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM g GROUP BY 1) h USING (doc_id)""",
 }
