@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rekko.session import cut_lineage  # noqa: F401  (re-exported for the operators)
+from rekko.session import checkpoint_dir, cut_lineage  # noqa: F401  (re-exported for the operators)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,3 +98,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"),
                        F.xxhash64(text).alias("t"), text.alias("text"), F.col(id_col).alias("id"))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    Like a checkpoint this cuts lineage and survives lost executors, but the
+    columns are compressed.  The table stays until the folder is cleared.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekko.llm import (ann, packing, pii, sentence_spans, sentencepiece_bpe, simhash, token_counts, topk,
-                       toxicity)
+from rekko.llm import (ann, packing, pii, sentence_spans, sentencepiece_bpe, simhash, suffix_array, token_counts,
+                       topk, toxicity)
 from rekko.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -28,6 +28,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer(PIECES)))
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_array.dedup_bytes(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer(PIECES))
 
@@ -59,8 +64,8 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op4_token_counts, op5_ann, op6_toxicity, op7_pii,
-                                   op8_packing, op9_topk, op10_sentence_spans)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op3_suffix_array, op4_token_counts, op5_ann,
+                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans)}
 
 ORACLE = {
     "op9_topk": """

@@ -43,7 +43,7 @@ WORD = re.compile(r"[^\W\d_]+")
 WINDOW, STEP = 64, 48           # bytes
 PREFIXES = range(4, 9)          # lengths of the word beginnings that are tried
 ORDINARY_BYTES, TOXIC_MARKS = 4096, 600
-LEAST_Z = 8.0                   # standard errors by which a mark's shares must differ
+LEAST_Z = 6.0                   # standard errors by which a mark's shares must differ
 
 
 @dataclass(frozen=True)
