@@ -93,11 +93,13 @@ NO_ID = 2 ** 63 - 1
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``k``, ``t``, ``text``, id): the id as an ordering key (a null id comes last) and
-    a hash of the text, which tells apart rows that repeat an id with another text."""
+    """(``k``, ``t``, ``text``, ``row``): the id as an ordering key (a null id comes last), a
+    hash of the text, which tells apart rows that repeat an id with another text, and
+    the other columns as one struct, where their names cannot clash."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"),
-                       F.xxhash64(text).alias("t"), text.alias("text"), F.col(id_col).alias("id"))
+                       F.xxhash64(text).alias("t"), text.alias("text"),
+                       F.struct(*[c for c in docs.columns if c != text_col]).alias("row"))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,22 +146,24 @@ def spans_of(text: str, window: int = 40, threshold: float = 0.7) -> list[dict]:
 
 
 def find_pii(docs: DataFrame, window: int = 40, threshold: float = 0.7,
-             id_col: str = "doc_id", text_col: str = "text", with_redacted: bool = False) -> DataFrame:
-    """One row per document: id, ``spans`` (kind, start, end in code points, score,
-    base) and, if asked for, ``redacted``: the text with each span as ``[KIND]``.
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id and ``spans`` (kind, start, end in code points, score, base).
 
     ``threshold`` is the score an added span needs; base spans always stay.
     """
-    fields = [T.StructField("spans", SPAN)] + [T.StructField("redacted", T.StringType())] * with_redacted
-
     def make(texts: list[str]) -> list[pa.Array]:
-        found = [spans_of(t, window, threshold) for t in texts]
-        out = [pa.array(found, SPAN_ARROW)]
-        if with_redacted:
-            out.append(pa.array([redact(t, s) for t, s in zip(texts, found, strict=True)], pa.string()))
-        return out
+        return [pa.array([spans_of(t, window, threshold) for t in texts], SPAN_ARROW)]
+
+    return map_texts(docs, id_col, text_col, [T.StructField("spans", SPAN)], make)
+
+
+def redacted_column(window: int = 40, threshold: float = 0.7, text_col: str = "text") -> Column:
+    """The text with each span as ``[KIND]``, for callers that keep their rows whole."""
+    @F.pandas_udf("string")
+    def redacted(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: redact(t, spans_of(t, window, threshold)))
 
-    return map_texts(docs, id_col, text_col, fields, make)
+    return redacted(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def redact(text: str, spans: list[dict]) -> str:

@@ -122,7 +122,7 @@ def dedup_sentences(docs: DataFrame, span: int = 3, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.select(["id", "text", "starts"]), 8_000_000):
+            for part in slices(batch, 8_000_000):
                 out = [remove_spans(t, s or [], span) for t, s in
                        zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -131,4 +131,4 @@ def dedup_sentences(docs: DataFrame, span: int = 3, id_col: str = "doc_id", text
                     names=schema.names)
 
     return (rows.join(repeats(places(rows, span)), ["k", "t"], "left")
-            .select("id", "text", "starts").mapInArrow(run, schema))
+            .select(F.col("row").getField(id_col).alias(id_col), "text", "starts").mapInArrow(run, schema))

@@ -30,11 +30,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rekko.llm.common import cut_lineage, map_texts
+from rekko.llm.common import cut_lineage, keyed, map_texts
 
 # Bit counts of a byte value, one row for each value (rule: numpy's bit order, low bit first).
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -209,19 +209,45 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("fp"), F.col("v").alias("root"))
 
 
+def grouped(marked: DataFrame, least, max_bits: int, list_size: int) -> DataFrame:
+    """(``fp``, ``least``): for each distinct fingerprint the minimum of ``least`` over its group."""
+    own = marked.groupBy("fp").agg(F.min(least).alias("own"))
+    roots = components(links(marked, max_bits, list_size))
+    classes = own.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    groups = classes.groupBy("root").agg(F.min("own").alias("least"))
+    return classes.join(groups, "root").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, list_size: int = 2048,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``fp`` and ``component_id``, the smallest id that links reach."""
     if not 0 <= max_bits <= 7:
         raise ValueError("max_bits must be between 0 and 7")
     marked = cut_lineage(fingerprints(docs, words, id_col, text_col))
-    least = marked.groupBy("fp").agg(F.min(id_col).alias("least"))
-    roots = components(links(marked, max_bits, list_size))
-    classes = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(groups, "root").select("fp", "component_id")
+    named = grouped(marked, F.col(id_col), max_bits, list_size).withColumnRenamed("least", "component_id")
     return marked.join(named, "fp").select(id_col, "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, list_size: int = 2048,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all columns, of which each group keeps the one with the smallest id
+    (a null id comes last; of rows that repeat an id the one with the smallest hash of its text,
+    once)."""
+    rows = keyed(docs, id_col, text_col)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values.view(np.int64))],
+                                             names=["k", "t", "fp"])
+
+    marked = cut_lineage(rows.select("k", "t", "text").mapInArrow(make, "k long, t long, fp long"))
+    kept = (grouped(marked, F.struct("k", "t"), max_bits, list_size).select("least.k", "least.t").distinct())
+    first = Window.partitionBy("k", "t").orderBy("k")       # the join's own order: no shuffle of its own
+    return (rows.join(kept, ["k", "t"]).withColumn("n", F.row_number().over(first)).filter("n = 1")
+            .select(*(F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+                      for c in docs.columns)))
+
+
 def hex_fingerprints(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -431,11 +431,16 @@ def tag_of(t: Column) -> Column:
     return t.bitwiseAND(F.lit(0x7FFFFFFF))
 
 
-def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary)."""
+def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
+                whole_rows: bool = False) -> DataFrame:
+    """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary).
+
+    With ``whole_rows`` the documents come back with all their columns and what is
+    left as their text; characters that a cut went through are dropped.
+    """
     if not 40 <= length <= 200:
         raise ValueError("length must lie between 40 and 200 bytes")
-    rows = keyed(docs, id_col, text_col).select("k", tag_of(F.col("t")).alias("tag"), "text", "id")
+    rows = keyed(docs, id_col, text_col).select("k", tag_of(F.col("t")).alias("tag"), "text", "row")
     hot, total = hot_anchors(rows, length)
     judged = stored(judge(deal(rows, length, hot, max(1, -(-total // BUCKET_SEGMENTS))), length), "segments")
     undecided = judged.filter("key IS NOT NULL")
@@ -443,24 +448,31 @@ def dedup_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     spans = judged.filter("key IS NULL").select("k", "tag", "start", "count").union(
         decide(undecided_texts(rows, undecided, length, buckets), length))
     spans = spans.groupBy("k", "tag").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType),
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType),
                            *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
-                           T.StructField("kept", T.BinaryType())])
+                           T.StructField("kept", T.StringType() if whole_rows else T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = np.zeros(0, np.int64)
         for whole in batches:
-            for batch in slices(whole.select(["id", "text", "spans"]), 8_000_000):
+            for batch in slices(whole, 8_000_000):
                 lists = batch.column("spans")
-                out = []
+                sizes, removed, runs, kept = [], [], [], []
                 for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                     own = lists[i].values
-                    starts, counts = (own.field(c).to_numpy() for c in ("start", "count")) if own is not None \
-                        else (empty, empty)
-                    out.append((len(text), *cut_out(text, starts, counts, length)))
+                    starts, counts = (empty, empty) if own is None else (
+                        own.field(c).to_numpy() for c in ("start", "count"))
+                    left, gone, n = cut_out(text, starts, counts, length)
+                    sizes.append(len(text))
+                    removed.append(gone)
+                    runs.append(n)
+                    kept.append(left.decode(errors="ignore") if whole_rows else left)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([x[0] for x in out], pa.int64()),
-                     pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64()),
-                     pa.array([x[1] for x in out], pa.binary())], names=schema.names)
-
-    return (rows.join(spans, ["k", "tag"], "left").select("id", "text", "spans").mapInArrow(run, schema))
+                    [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, runs)),
+                     pa.array(kept, pa.string() if whole_rows else pa.binary())], names=schema.names)
+
+    out = rows.join(spans, ["k", "tag"], "left").select("row", "text", "spans").mapInArrow(run, schema)
+    if whole_rows:
+        return out.select(*(F.col("kept").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+                            for c in docs.columns))
+    return out.select(F.col("row").getField(id_col).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")

@@ -32,6 +32,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -209,3 +210,12 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = 0.3,
     return map_texts(docs, id_col, text_col, [T.StructField("score", T.DoubleType())], make).select(
         id_col, (~in_training(F.col(id_col))).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def score_column(model: Model, text_col: str = "text") -> Column:
+    """The score as a column, for callers that keep their rows whole."""
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: score(t or "", model)).astype("float64")
+
+    return scored(F.coalesce(F.col(text_col), F.lit("")))
