@@ -179,7 +179,7 @@ def pack(columns: list[np.ndarray]) -> bytes:
     """Columns of one length as compressed bytes; wide numbers by byte, so equal parts lie together."""
     import zstandard
 
-    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+    raw = b"".join(narrow(c, 8).T.tobytes() for c in columns)
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
@@ -199,7 +199,10 @@ def unpack(data: bytes, kinds: list[tuple[type, int]]) -> list[np.ndarray]:
 
 
 def narrow(column: np.ndarray, width: int) -> np.ndarray:
-    return column.view(np.uint8).reshape(len(column), -1)[:, :width]
+    """The low ``width`` bytes of each value (all of a narrower one), a row each."""
+    if column.ndim == 2:
+        return column
+    return np.ascontiguousarray(column).view(np.uint8).reshape(len(column), column.itemsize)[:, :width]
 
 
 def sorted_batch(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:

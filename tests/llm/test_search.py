@@ -1,0 +1,110 @@
+"""Vector searches against brute force."""
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from rekko.llm import ann, topk
+from rekko.llm.topk import SortedLists, whole_numbers
+
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),
+                       T.StructField("id", T.StringType()), T.StructField("v", T.StringType()),
+                       T.StructField("rank", T.StringType())])
+
+
+def vectors(n: int, d: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    out = rng.standard_normal((n, d))
+    out[n // 3:n // 2] = out[0]                 # ties
+    return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+
+def frame(spark, x, extra=()):
+    rows = [(i, v.tolist(), "x", "y", "z") for i, v in enumerate(x)]
+    return spark.createDataFrame(rows + [(*e, "x", "y", "z") for e in extra], SCHEMA)
+
+
+ODD = [(1000, None), (1020, [0.0] * 12), (1040, [None] + [1.0] * 11), (1060, [float("nan")] * 12),
+       (1080, [float("inf")] * 12), (1100, [1.0] * 3), (None, [1.0] * 12), (1120, [])]
+
+
+def exact(x, every, k, zero=True):
+    out = {}
+    for q in range(0, len(x), every):
+        s = (x * x[q]).cumsum(axis=1)[:, -1]
+        best = [i for i in sorted(range(len(x)), key=lambda i: (-s[i], i)) if i != q][:k]
+        out[q] = [(i, s[i]) for i in best]
+    return out
+
+
+def by_query(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(out[r["query_id"]])
+    return out
+
+
+@pytest.mark.parametrize("block", [50, 8192])
+def test_ann_recall_and_scores(spark, block):
+    x = vectors(400, 12, 1)
+    got = by_query(ann.nearest(frame(spark, x, ODD), k=20, block_rows=block, query_rows=block))
+    want = exact(x, 20, 20)
+    assert got.keys() == want.keys()
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.98 * 20 * len(want)
+    for q, found in got.items():
+        assert len(found) == 20
+        scores = {i: s for i, s in found}
+        assert all(s == pytest.approx(float(x[i] @ x[q]), abs=1e-12) for i, s in scores.items())
+        assert found == sorted(found, key=lambda p: (-p[1], p[0]))
+
+
+def test_ann_few_rows(spark):
+    x = vectors(9, 12, 2)
+    got = by_query(ann.nearest(frame(spark, x, ODD), k=20))
+    assert {i for i, _ in got[0]} == set(range(1, 9))
+    assert ann.nearest(frame(spark, x[:0])).collect() == []
+
+
+def test_estimates_stay_within_their_bounds():
+    x = vectors(2000, 64, 3)
+    codes = ann.Codes(x, 42)
+    about, unit = codes.estimate(x[1])
+    assert (np.abs(about - x @ x[1]) <= 3 * unit + 1e-9).mean() > 0.99
+
+
+@pytest.mark.parametrize("block", [60, 8192])
+def test_top_k(spark, block):
+    x = np.concatenate((vectors(300, 12, 4), np.zeros((2, 12))))
+    got = by_query(topk.top_k(frame(spark, x, [e for e in ODD if e[0] != 1020]), query_every=50, block_rows=block,
+                              query_rows=4))
+    want = exact(np.floor(256 * x), 50, 5)
+    assert got == {q: [(i, int(s)) for i, s in v] for q, v in want.items()}
+
+
+def test_repeated_rows_count_once(spark):
+    x = vectors(60, 12, 5)
+    once = frame(spark, x)
+    assert by_query(topk.top_k(once.union(once))) == by_query(topk.top_k(once))
+    assert by_query(ann.nearest(once.union(once))) == by_query(ann.nearest(once))
+
+
+def test_threshold_search_stops_early_and_is_exact():
+    rng = np.random.default_rng(6)
+    x = np.floor(rng.exponential(50, (3000, 4)))
+    lists = SortedLists(x)
+    for q in range(20):
+        ids, scores = lists.search(x[q], q, 5, 4)
+        s = x @ x[q]
+        s[q] = -1
+        best = np.lexsort((np.arange(len(x)), -s))[:5]
+        assert ids.tolist() == best.tolist() and scores.tolist() == s[best].tolist()
+
+
+def test_large_components_stay_exact(spark):
+    big = whole_numbers(np.array([[1e12, -3.7], [1e300, 2.0]]))
+    assert big[0, 0] == 256 * 10 ** 12 and big[0, 1] == -948 and big[1, 0] == int(1e300) * 256
+    rows = [(0, [1e6, 1.0], "", "", ""), (1, [1e6, 1.0], "", "", ""), (2, [1e300, 0.0], "", "", "")]
+    got = by_query(topk.top_k(spark.createDataFrame(rows, SCHEMA)))
+    assert got[0] == [(2, 2 ** 63 - 1), (1, (256 * 10 ** 6) ** 2 + 65536)]
