@@ -100,7 +100,7 @@ def q_first_item_sample(spark, sf_dir):
 
 def q_co_rating_sums(spark, sf_dir):
     train = _train(spark, sf_dir)
-    sums = sim.unscaled_sums(sim.co_rating_sums(train), train)
+    sums = sim.unscaled_sums(sim.co_rating_sums(train))
     return sums.select(F.col("a").alias("business_id"), F.col("b").alias("other_id"),
                        "sxy", "sxx", "syy", F.col("n").alias("co_users"))
 

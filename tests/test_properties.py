@@ -24,13 +24,12 @@ def _df(spark, rows):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=ratings_st, light=st.integers(0, 4), min_co=st.integers(1, 3),
+@given(rows=ratings_st, chunk=st.integers(1, 4), min_co=st.integers(1, 3),
        restrict=st.booleans())
-def test_similarity_random(spark, rows, light, min_co, restrict):
+def test_similarity_random(spark, rows, chunk, min_co, restrict):
     want = brute_force([(u, i, float(s), o) for o, (u, i, s) in enumerate(rows)], min_co)
     got = {(r["a"], r["b"]): r["sim"] for r in sim.pair_similarity(
-        sim.co_rating_sums(_df(spark, rows), min_raters=min_co, light_degree=light,
-                           block_items=3, chunk_users=3,
+        sim.co_rating_sums(_df(spark, rows), min_raters=min_co, chunk_items=chunk,
                            min_pair_count=min_co if restrict else None), min_co).collect()}
     assert set(got) == set(want)
     for k, (s, _) in want.items():
