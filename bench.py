@@ -17,7 +17,7 @@ from rekko.plans.catalog import QUERIES  # noqa: E402
 from rekko.session import get_spark  # noqa: E402
 
 HEADLINE = ["item_topk", "candidates", "recommend", "feature_table", "score_pairs",
-            "rmse", "low_error_sample", "target_on_reference", "user_items", "train_predict"]
+            "rmse", "low_error_sample", "target_on_reference", "user_items"]
 
 
 def main() -> None:

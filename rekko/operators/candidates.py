@@ -20,40 +20,57 @@ rating (no minimum support).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rekko.operators.stats import dedup_last, top_by_mean
 from rekko.schema import RATINGS, RatingSchema
 
 
+def _fresh(seeds: DataFrame, similar: DataFrame, rated: DataFrame, s: RatingSchema) -> DataFrame:
+    """``(user, item, first_pos)``: unrated similar items of the seeds, with their first seed."""
+    return (seeds.join(similar, "seed").select(s.user, s.item, "seed_pos")
+            .groupBy(s.user, s.item).agg(F.min("seed_pos").alias("first_pos"))
+            .join(rated, [s.user, s.item], "left_anti"))
+
+
 def warm_candidates(train: DataFrame, topk: DataFrame, s: RatingSchema = RATINGS,
                     per_item_k: int = 20, max_pool: int = 300) -> DataFrame:
-    """``(user, item, first_pos)`` for users with ratings."""
+    """``(user, item, first_pos)`` for users with ratings.
+
+    Seeds go in two waves, so the rows follow the pool and not the history: the
+    first ``2 * max_pool / per_item_k`` seeds of every user, then the others of
+    those users whose pool is still short of ``max_pool``.
+    """
     seeds = dedup_last(train, s).select(
         s.user, F.col(s.item).alias("seed"), F.col("first_ord").alias("seed_pos"))
     similar = (topk.filter(F.col("rank") <= per_item_k)
                .select(F.col(s.item).alias("seed"), F.col("other_id").alias(s.item)))
-    expanded = seeds.join(similar, "seed").select(s.user, s.item, "seed_pos")
     rated = seeds.select(s.user, F.col("seed").alias(s.item))
-    fresh = expanded.join(rated, [s.user, s.item], "left_anti")
-    # Read twice (for the cut and for the final filter): keep it once.
-    first = (fresh.groupBy(s.user, s.item).agg(F.min("seed_pos").alias("first_pos"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    wave = max(1, -(-2 * max_pool // per_item_k))
+    in_order = Window.partitionBy(s.user).orderBy("seed_pos")
+    head = (seeds.withColumn("rn", F.row_number().over(in_order)).filter(F.col("rn") <= wave))
+    first = _fresh(head.drop("rn"), similar, rated, s)
+    pool = first.groupBy(s.user).agg(F.count(F.lit(1)).alias("n_first"))
+    more = (head.filter(F.col("rn") == wave).select(s.user, F.col("seed_pos").alias("wave_end"))
+            .join(pool, s.user, "left").filter(F.coalesce("n_first", F.lit(0)) < max_pool)
+            .select(s.user, "wave_end"))
+    rest = seeds.join(more, s.user).filter(F.col("seed_pos") > F.col("wave_end")).drop("wave_end")
+    # an item that both waves bring belongs to the first
+    first = (first.unionByName(_fresh(rest, similar, rated, s))
+             .groupBy(s.user, s.item).agg(F.min("first_pos").alias("first_pos")))
     # The max_pool-th smallest first_pos (with multiplicity) lies among the
     # max_pool smallest *distinct* positions, so the running count only needs
     # those: a per-user top-k (limited before the shuffle), then a running
     # sum over at most max_pool rows per user.
     per_pos = first.groupBy(s.user, "first_pos").agg(F.count(F.lit(1)).alias("n_new"))
     by_pos = Window.partitionBy(s.user).orderBy("first_pos")
-    head = (per_pos.withColumn("rn", F.row_number().over(by_pos))
-            .filter(F.col("rn") <= max_pool)
-            .withColumn("n_upto", F.sum("n_new").over(
-                by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    cut = (head.filter(F.col("n_upto") >= max_pool)
+    heads = (per_pos.withColumn("rn", F.row_number().over(by_pos))
+             .filter(F.col("rn") <= max_pool)
+             .withColumn("n_upto", F.sum("n_new").over(
+                 by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    cut = (heads.filter(F.col("n_upto") >= max_pool)
            .groupBy(s.user).agg(F.min("first_pos").alias("last_pos")))
     return (first.join(cut, s.user, "left")
             .filter(F.col("last_pos").isNull() | (F.col("first_pos") <= F.col("last_pos")))
@@ -64,17 +81,13 @@ def cold_candidates(users: DataFrame, train: DataFrame, s: RatingSchema = RATING
                     max_pool: int = 300) -> DataFrame:
     """``(user, item)`` for users in ``users`` that have no rating in ``train``.
 
-    The pool has at most ``max_pool`` ids; it is fetched once and attached
-    as a literal array, so no join pairs users with items.
+    The pool is one row holding at most ``max_pool`` ids, so its broadcast is
+    bounded and no join pairs users with items.
     """
-    pool = [row[s.item] for row in
-            top_by_mean(train, s, max_pool).orderBy("pool_rank").select(s.item).collect()]
-    item_type = train.schema[s.item].dataType
+    pool = top_by_mean(train, s, max_pool).agg(F.collect_list(s.item).alias("_pool"))
     cold = users.select(s.user).distinct().join(train.select(s.user), s.user, "left_anti")
-    if not pool:   # no training ratings at all: nothing to recommend
-        return cold.select(s.user, F.lit(None).cast(item_type).alias(s.item)).filter(F.lit(False))
-    ids = F.array(*[F.lit(v) for v in pool]).cast(T.ArrayType(item_type))
-    return cold.select(s.user, F.explode(ids).alias(s.item))
+    return (cold.join(F.broadcast(pool), F.col("_pool").isNotNull())
+            .select(s.user, F.explode("_pool").alias(s.item)))
 
 
 def candidates(users: DataFrame, train: DataFrame, topk: DataFrame,

@@ -85,6 +85,23 @@ def display_round(df: DataFrame, cols: tuple[str, ...] = ("predicted_rating", "a
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def rejected(requests: DataFrame, s: RatingSchema = RATINGS) -> DataFrame:
+    """Requests that cannot be scored, with the reason: a missing user or item id."""
+    no_user, no_item = F.col(s.user).isNull(), F.col(s.item).isNull()
+    return (requests.filter(no_user | no_item)
+            .select(s.user, s.item, F.when(no_user & no_item, "no user and item id")
+                    .when(no_user, "no user id").otherwise("no item id").alias("reason")))
+
+
+def score_pairs_rejects(requests: DataFrame, scorer, s: RatingSchema = RATINGS) -> DataFrame:
+    """F8: requests without a score: ``(user, item, reason)``; the others are what
+    :func:`score_pairs` returns, so scored and rejected rows add up to the requests."""
+    whole = requests.filter(F.col(s.user).isNotNull() & F.col(s.item).isNotNull())
+    failed = (scorer.score(whole.select(s.user, s.item), s).filter(F.col("prediction").isNull())
+              .select(s.user, s.item, F.lit("no prediction").alias("reason")))
+    return rejected(requests, s).unionByName(failed)
+
+
 def score_pairs(requests: DataFrame, scorer, user_names: DataFrame, business_names: DataFrame,
                 truth: DataFrame | None = None, s: RatingSchema = RATINGS) -> DataFrame:
     """``(user_id, user_name, business_id, business_name,
@@ -92,9 +109,11 @@ def score_pairs(requests: DataFrame, scorer, user_names: DataFrame, business_nam
 
     ``truth`` is ``(user, item, stars, ord)``; the actual rating is the last
     one in file order (J12), NULL when absent.  Not clipped (single-pair
-    path of the original).
+    path of the original).  Requests without an id or a prediction are in
+    :func:`score_pairs_rejects`.
     """
-    scored = scorer.score(requests.select(s.user, s.item), s)
+    whole = requests.filter(F.col(s.user).isNotNull() & F.col(s.item).isNotNull())
+    scored = scorer.score(whole.select(s.user, s.item), s).filter(F.col("prediction").isNotNull())
     out = (scored.join(user_names, s.user, "left").join(business_names, s.item, "left"))
     if truth is not None:
         last = truth.groupBy(s.user, s.item).agg(F.max_by(s.stars, s.order).alias("actual_rating"))

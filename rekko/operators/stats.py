@@ -43,8 +43,8 @@ def global_mean(r: DataFrame, s: RatingSchema = RATINGS, digits: int | None = No
 def dedup_last(r: DataFrame, s: RatingSchema = RATINGS) -> DataFrame:
     """One row per (user, item); the rating of the last row in file order.
 
-    ``max_by`` is a declarative aggregate, so it is combined map-side before
-    the shuffle on (user, item); ``first_ord`` (the first occurrence) is kept
+    ``max_by`` over a fixed-width order key is a hash aggregate, combined
+    map-side before the shuffle on (user, item); ``first_ord`` (the first occurrence) is kept
     for seed ordering in candidate generation, ``sum_stars`` / ``n_rows``
     let item means over all rows be rebuilt without another scan.
     """

@@ -65,9 +65,15 @@ tk AS (
     FROM both_) WHERE rank <= 50)"""
 
 
-def candidates_sql(max_pool: int) -> str:
-    return f"""WITH {ratings_cte()}, {DEDUP}, {sums_cte(20)}, {SIM_CTE}, {TOPK_CTE},
-seeds AS (
+def candidates_sql(max_pool: int, item: str = "l_suppkey", min_co: int = 20, cold: bool = True) -> str:
+    sims = SIM_CTE.replace("n >= 20", f"n >= {min_co}")
+    # the top-k table is read several times, so it is computed once
+    topk = TOPK_CTE.replace("tk AS (", "tk AS MATERIALIZED (")
+    with_cold = """
+SELECT * FROM warm WHERE user_id IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT * FROM cold""" if cold else "SELECT user_id, business_id FROM warm"
+    return f"""WITH {ratings_cte(item=item)}, {DEDUP}, {sums_cte(min_co)}, {sims}, {topk},
+seeds AS MATERIALIZED (
   SELECT user_id, business_id AS seed, min(pos) AS seed_pos FROM (
     SELECT user_id, business_id,
            row_number() OVER (PARTITION BY user_id ORDER BY {ORD_ASC}) AS pos
@@ -76,9 +82,8 @@ expd AS (
   SELECT s.user_id, t.other_id AS business_id, s.seed_pos
   FROM seeds s JOIN tk t ON t.business_id = s.seed AND t.rank <= 20),
 fresh AS (
-  SELECT * FROM expd e WHERE NOT EXISTS (
-    SELECT 1 FROM seeds s2 WHERE s2.user_id = e.user_id AND s2.seed = e.business_id)),
-firsts AS (SELECT user_id, business_id, min(seed_pos) AS first_pos FROM fresh GROUP BY 1, 2),
+  SELECT e.* FROM expd e ANTI JOIN seeds s2 ON s2.user_id = e.user_id AND s2.seed = e.business_id),
+firsts AS MATERIALIZED (SELECT user_id, business_id, min(seed_pos) AS first_pos FROM fresh GROUP BY 1, 2),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY first_pos, business_id) AS rn
   FROM firsts),
@@ -95,10 +100,8 @@ pool AS (
   ORDER BY m DESC, business_id LIMIT {max_pool}),
 cold AS (
   SELECT c.c_custkey AS user_id, p.business_id, true AS is_cold
-  FROM customer c, pool p
-  WHERE c.c_custkey NOT IN (SELECT user_id FROM r))
-SELECT * FROM warm WHERE user_id IN (SELECT c_custkey FROM customer)
-UNION ALL SELECT * FROM cold"""
+  FROM (SELECT c_custkey FROM customer ANTI JOIN r ON c_custkey = user_id) c, pool p)
+{with_cold}"""
 
 
 ORACLE: dict[str, str] = {
@@ -304,9 +307,8 @@ expd AS (
   SELECT s.user_id, t.other_id AS business_id, s.seed_pos
   FROM seeds s JOIN tk t ON t.business_id = s.seed AND t.rank <= 20),
 fresh AS (
-  SELECT * FROM expd e WHERE NOT EXISTS (
-    SELECT 1 FROM seeds s2 WHERE s2.user_id = e.user_id AND s2.seed = e.business_id)),
-firsts AS (SELECT user_id, business_id, min(seed_pos) AS first_pos FROM fresh GROUP BY 1, 2),
+  SELECT e.* FROM expd e ANTI JOIN seeds s2 ON s2.user_id = e.user_id AND s2.seed = e.business_id),
+firsts AS MATERIALIZED (SELECT user_id, business_id, min(seed_pos) AS first_pos FROM fresh GROUP BY 1, 2),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY first_pos, business_id) AS rn
   FROM firsts),
@@ -448,3 +450,89 @@ FROM m ORDER BY avg_rating DESC, business_id LIMIT 300""",
     "recommend": RECOMMEND,
     "target_on_reference": TARGET_ON_REFERENCE,
 })
+
+
+# --------------------------------------------- model rows and untriggered rules
+
+UNKNOWN = f"""un AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN user_id + 1000000000 ELSE user_id END AS user_id,
+         CASE WHEN business_id % 5 = 0 THEN business_id + 1000000000 ELSE business_id END AS business_id,
+         stars
+  FROM src)"""
+
+# values of an unknown user or business
+MISS = {"user_avg_star": "3.0::DOUBLE", "user_review_cnt": "0.0::DOUBLE", "user_useful": "0.0::DOUBLE",
+        "user_funny": "0.0::DOUBLE", "user_cool": "0.0::DOUBLE", "bus_stars": "3.5::DOUBLE",
+        "review_count_bus": "0.0::DOUBLE", "photo_count": "0::BIGINT", "operation_days": "7::INTEGER",
+        "price_range": "2.0::DOUBLE", "credit_card": "1::INTEGER", "is_open": "1::INTEGER"}
+
+
+def _missed(column: str) -> str:
+    side = "u" if column.startswith("user_") else "b"
+    key = "user_id" if side == "u" else "business_id"
+    return f"CASE WHEN {side}.{key} IS NULL THEN {MISS.get(column, 'NULL')} ELSE {side}.{column} END AS {column}"
+
+
+_BASE = ["user_avg_star", "user_review_cnt", "user_useful", "user_funny", "user_cool",
+         *BUSINESS_FEATURE_LIST.split(", ")]
+
+ORACLE.update({
+    "train_predict": f"""WITH {ratings_cte('v', item='l_partkey', split='validation')}
+SELECT user_id, business_id, true AS scored, true AS within_cap, true AS beats_mean
+FROM v JOIN part ON p_partkey = business_id""",
+
+    "recommend_model": f"""SELECT user_id, least(10, count(*))::BIGINT AS n_items, true AS all_offered,
+  true AS ordered FROM ({candidates_sql(300)}) GROUP BY user_id""",
+
+    "feature_table_unknown": f"""WITH {USERS}, {SUPPLIER_BUSINESS}, {ratings_cte('src')}, {UNKNOWN},
+base AS (
+  SELECT un.user_id, un.business_id, un.stars AS label, {', '.join(map(_missed, _BASE))}
+  FROM un LEFT JOIN usr u ON u.user_id = un.user_id LEFT JOIN biz b ON b.business_id = un.business_id)
+SELECT *, user_avg_star - bus_stars AS user_bus_rating_diff,
+  user_avg_star / (bus_stars + 0.1::DOUBLE) AS user_bus_rating_ratio,
+  user_review_cnt / (user_useful + 1) AS user_activity_ratio FROM base""",
+
+    "part_similarity": f"""WITH {ratings_cte(item='l_partkey')}, {DEDUP}, {sums_cte(2)},
+{SIM_CTE.replace("n >= 20", "n >= 2")}
+SELECT a AS business_id, b AS other_id, sim, corr, co_users FROM sim""",
+
+    "part_candidates": candidates_sql(300, item="l_partkey", min_co=2, cold=False),
+
+    "candidates_cold": f"""WITH {ratings_cte('all_')}, r AS (SELECT * FROM all_ WHERE user_id % 10 <> 0),
+pool AS (
+  SELECT business_id FROM (SELECT business_id, avg(stars) AS m FROM r GROUP BY 1)
+  ORDER BY m DESC, business_id LIMIT 300)
+SELECT c.c_custkey AS user_id, p.business_id
+FROM (SELECT c_custkey FROM customer ANTI JOIN r ON c_custkey = user_id) c, pool p""",
+
+    "score_pairs_rejects": f"""WITH {ratings_cte('v', split='validation')},
+q AS (SELECT CASE WHEN user_id % 7 <> 0 THEN user_id END AS user_id,
+             CASE WHEN business_id % 11 <> 0 THEN business_id END AS business_id FROM v)
+SELECT user_id, business_id, CASE WHEN user_id IS NULL AND business_id IS NULL THEN 'no user and item id'
+  WHEN user_id IS NULL THEN 'no user id' ELSE 'no item id' END AS reason
+FROM q WHERE user_id IS NULL OR business_id IS NULL""",
+
+    "score_pairs_unknown": f"""WITH {ratings_cte('src', split='validation')}, {UNKNOWN}, {ratings_cte()},
+g AS (SELECT avg(stars) AS g FROM r),
+um AS (SELECT user_id, avg(stars) AS um FROM r GROUP BY 1),
+im AS (SELECT business_id, avg(stars) AS im FROM r GROUP BY 1),
+last AS (
+  SELECT user_id, business_id, stars AS actual_rating FROM (
+    SELECT user_id, business_id, stars,
+           row_number() OVER (PARTITION BY user_id, business_id ORDER BY {ORD_DESC}) AS rn
+    FROM src) WHERE rn = 1)
+SELECT un.user_id, coalesce(c.c_name, 'N/A') AS user_name, un.business_id,
+       coalesce(s.s_name, 'N/A') AS business_name,
+       g.g + coalesce(um.um - g.g, 0.0::DOUBLE) + coalesce(im.im - g.g, 0.0::DOUBLE) AS predicted_rating,
+       last.actual_rating
+FROM un CROSS JOIN g LEFT JOIN um ON um.user_id = un.user_id LEFT JOIN im ON im.business_id = un.business_id
+LEFT JOIN customer c ON c.c_custkey = un.user_id LEFT JOIN supplier s ON s.s_suppkey = un.business_id
+LEFT JOIN last ON last.user_id = un.user_id AND last.business_id = un.business_id""",
+
+    "onehot_single_row": f"""WITH {USERS}, {SUPPLIER_BUSINESS}, {features_cte('ft', 'train')}, {_levels_cte()},
+{ratings_cte('v', split='validation')}
+SELECT user_id, business_id, (SELECT count(*) FROM levels) AS dummies, 0::BIGINT AS ones FROM v""",
+
+    "clip": f"""WITH {ratings_cte()}
+SELECT user_id, business_id, least(stars * 1.25, 5.0::DOUBLE) AS prediction FROM r""",
+})

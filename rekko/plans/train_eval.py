@@ -26,7 +26,7 @@ from rekko.operators import model as gbt
 from rekko.operators import similarity as sim
 from rekko.operators.features import FeaturePipeline, with_photos
 from rekko.operators.stats import counts_with_names, global_mean, item_means, user_means
-from rekko.session import adaptive_cache, cut_lineage
+from rekko.session import cut_lineage
 from rekko.sinks.writers import write_csv
 from rekko.sources import artifacts, files, tables
 
@@ -64,7 +64,6 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
         topk: int = 50, min_cousers: int = 20, model_dir: str | None = None) -> dict:
     """Run every step; ``model_dir`` defaults to ``$MODEL_PATH`` or
     ``{out_dir}/model`` (S10)."""
-    adaptive_cache(spark)
     t0 = time.time()
     phase = {}
     model_dir = model_dir or os.environ.get("MODEL_PATH") or os.path.join(out_dir, "model")
@@ -72,17 +71,28 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
 
     # The training ratings feed features, statistics, similarities and
     # artifacts: read and parse them once (spilling to disk).
-    inputs = Inputs(inputs.train.persist(StorageLevel.MEMORY_AND_DISK), inputs.validation,
-                    inputs.users, inputs.businesses)
+    kept = [inputs.train.persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        return _run(spark, Inputs(kept[0], inputs.validation, inputs.users, inputs.businesses), out_dir, kept,
+                    phase, t0, model_dir, art_dir, train_model, model_params, patience, topk, min_cousers)
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
+def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_model, model_params, patience,
+         topk, min_cousers) -> dict:
+    """The steps; what they persist goes to ``kept``."""
 
     # 1) features (M1, M2) and one-hot layout (M3, M4) as one pipeline (M5)
     tr = inputs.train.select("user_id", "business_id", F.col("stars").alias("label"))
     va = inputs.validation.select("user_id", "business_id", F.col("stars").alias("label"), "ord")
     fp = FeaturePipeline(inputs.users, inputs.businesses).fit(tr.select("user_id", "business_id"))
     levels = fp.levels
-    # Read by every boosting budget and by scoring: keep them (spill to disk).
-    x_train = fp.transform(tr, ("label",)).persist(StorageLevel.MEMORY_AND_DISK)
+    x_train = fp.transform(tr, ("label",))
+    # Read by the error curve and by scoring: keep it (spill to disk).
     x_val = fp.transform(va, ("label", "ord")).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(x_val)
     phase["features"] = time.time() - t0
 
     # 2) model (M6, M7) or a saved one
@@ -119,6 +129,8 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str, train_model: bool = T
     g = global_mean(inputs.train).first()["avg_rating"]
     hist = {r["bucket"]: int(r["count"]) for r in
             evaluate.error_histogram(results, "pred_rating", "true_rating").collect()}
+    write_csv(evaluate.high_errors(results, "pred_rating", "true_rating"),
+              os.path.join(out_dir, "high_error_cases"), order_by=[F.desc("error"), "user_id", "business_id"])
     # RMSE, the constant-mean RMSE and the high-error count in one pass
     scored = results.filter(F.col("true_rating").isNotNull() & F.col("pred_rating").isNotNull())
     err = F.col("pred_rating") - F.col("true_rating")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 class RatingSchema:
     """Names of the columns of a long-form ratings DataFrame.
 
-    ``order`` is any orderable column (number or struct) giving file order;
+    ``order`` is any orderable column giving file order (see :func:`order_key`);
     "last duplicate wins" and "first seed first" are defined by it.
     """
 
@@ -62,3 +64,19 @@ RATING_CSV_SCHEMA = T.StructType([
     T.StructField("business_id", T.StringType()),
     T.StructField("stars", T.StringType()),
 ])
+
+
+def order_key(*fields: tuple) -> Column:
+    """Fields of an order, each given with its number of digits, as one decimal of up to 38.
+
+    One fixed-width number instead of a struct keeps "last wins" a hash
+    aggregate.  A field with more digits than it was given fails the job.
+    """
+    if sum(digits for _, digits in fields) > 38:
+        raise ValueError("an order key has at most 38 digits")
+    key = F.lit(0).cast("decimal(38,0)")
+    for field, digits in fields:
+        value = F.col(field) if isinstance(field, str) else field
+        shifted = key * F.lit(10 ** digits).cast("decimal(38,0)")
+        key = (shifted + value.cast(f"decimal({digits},0)")).cast("decimal(38,0)")
+    return key

@@ -21,16 +21,6 @@ DEFAULT_CONF = {
 }
 
 
-def adaptive_cache(spark: SparkSession) -> None:
-    """Let AQE re-plan the partitioning of persisted intermediates.
-
-    Without it a cached plan keeps ``spark.sql.shuffle.partitions`` tasks
-    per stage however small the data; the engine persists several
-    intermediates, so its entry points switch this on for their session.
-    """
-    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
-
-
 def get_spark(master: str | None = None, app_name: str = "rekko",
               shuffle_partitions: int | None = None,
               extra_conf: dict[str, str] | None = None) -> SparkSession:

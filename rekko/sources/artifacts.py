@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rekko.sinks.writers import write_table
 
@@ -43,7 +44,25 @@ def load(spark: SparkSession, art_dir: str, name: str) -> DataFrame | None:
     if name not in NAMES:
         raise ValueError(f"unknown artifact table: {name}")
     path = os.path.join(art_dir, name)
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing path
-        return None
+    return spark.read.parquet(path) if exists(spark, path) else None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there; any other trouble with it is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def user_items(ratings: DataFrame) -> DataFrame:
+    """View of ``ratings``: the items of each user, in order, one row for each (user, item)."""
+    return ratings.groupBy("user_id", "business_id").agg(F.min("ord").alias("first_ord"))
+
+
+def item_users(ratings: DataFrame) -> DataFrame:
+    """View of ``ratings``: the users of each item, one row for each."""
+    return ratings.select("business_id", "user_id").distinct()
+
+
+def item_ratings(ratings: DataFrame) -> DataFrame:
+    """View of ``ratings``: the last rating of each user of an item."""
+    return ratings.groupBy("business_id", "user_id").agg(F.max_by("stars", "ord").alias("stars"))

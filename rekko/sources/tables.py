@@ -5,9 +5,10 @@ Roles (our own mapping, used by tests, queries and the benchmark):
 * user = customer (``o_custkey``), item = supplier (``l_suppkey``) for
   collaborative filtering, or part (``l_partkey``);
 * one rating per lineitem: ``stars = 1 + CAST(l_quantity AS INT) % 5``;
-* file order ``ord = (l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  l_quantity)``; the last field only breaks ties between otherwise equal
-  keys, so rows that tie on all five also have the same rating;
+* file order ``ord`` = (l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_quantity) as the digits of one number; the last field only breaks ties
+  between otherwise equal keys, so rows that tie on all five also have the
+  same rating;
 * train = orders dated before ``TRAIN_CUTOFF``, validation = the rest;
 * photos = ``events`` rows, with ``events.user_id`` read as a business id;
 * business / user JSON lines are generated from ``part`` / ``supplier`` /
@@ -22,7 +23,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekko.schema import RATINGS, RatingSchema
+from rekko.schema import RATINGS, RatingSchema, order_key
 
 TRAIN_CUTOFF = _dt.datetime(2000, 1, 1)
 SPLITS = ("all", "train", "validation")
@@ -58,8 +59,8 @@ def ratings(spark: SparkSession, sf_dir: str, item: str = "supplier",
         F.col("o_custkey").alias(schema.user),
         F.col(item_col).alias(schema.item),
         (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("double").alias(schema.stars),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                 "l_quantity").alias(schema.order),
+        order_key(("l_orderkey", 12), ("l_linenumber", 2), ("l_partkey", 11), ("l_suppkey", 10),
+                  ("l_quantity", 3)).alias(schema.order),
     )
 
 

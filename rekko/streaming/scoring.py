@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rekko.operators.scoring import rejected
 from rekko.session import cut_lineage
 
 REQUEST_SCHEMA = T.StructType([T.StructField("user_id", T.StringType()),
@@ -30,7 +31,7 @@ def request_stream(spark: SparkSession, folder: str, schema: T.StructType = REQU
 
 def scored_stream(requests: DataFrame, scorer, user_names: DataFrame,
                   business_names: DataFrame, truth: DataFrame | None = None) -> DataFrame:
-    """Score each request; rows with a missing id are dropped (the API
+    """Score each request; rows with a missing id go to :func:`rejected_stream` (the API
     answered 400 for them)."""
     # Static sides are materialized once (reliable checkpoints): the stream
     # then joins plain tables, whatever the lineage that built them.
@@ -52,10 +53,18 @@ def scored_stream(requests: DataFrame, scorer, user_names: DataFrame,
         F.current_timestamp().alias("timestamp"))
 
 
-def start(scored: DataFrame, checkpoint: str, sink: str = "memory", name: str = "scored_pairs",
-          path: str | None = None) -> StreamingQuery:
+def rejected_stream(requests: DataFrame) -> DataFrame:
+    """Requests with a missing id, each with its reason."""
+    return rejected(requests)
+
+
+def start(scored: DataFrame, checkpoint: str, path: str | None = None, sink: str = "parquet",
+          name: str = "scored_pairs") -> StreamingQuery:
     """Start the query (append mode).  ``checkpoint`` must be a shared folder
-    so the query resumes after a driver or executor loss."""
+    so the query resumes after a driver or executor loss.  The ``memory`` sink
+    gathers every row in the driver and is for small trials only."""
+    if sink != "memory" and not path:
+        raise ValueError("a file sink needs a path")
     w = scored.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if sink == "memory":
         return w.format("memory").queryName(name).start()

@@ -42,6 +42,10 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
     m = train_eval.run(spark, inputs, out, model_params={"maxIter": 3, "maxDepth": 3},
                        patience=2, min_cousers=5)
     assert m["n_validation"] > 0 and m["rmse"] > 0
+    # nothing stays in executor storage
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
+    high = spark.read.option("header", True).csv(os.path.join(out, "high_error_cases"))
+    assert high.count() == m["high_error_cases"]
     assert sum(m["error_distribution"].values()) == m["n_validation"]
     preds = spark.read.option("header", True).csv(os.path.join(out, "predictions"))
     assert preds.count() == m["n_validation"]
@@ -92,7 +96,7 @@ def test_streaming_scoring(spark, data_folder, tmp_path):
                              users.select("user_id", F.col("name").alias("user_name")),
                              biz.select("business_id", F.col("name").alias("business_name")),
                              truth=val),
-        checkpoint=str(tmp_path / "ckpt"), name="scored_test")
+        checkpoint=str(tmp_path / "ckpt"), sink="memory", name="scored_test")
     try:
         q.processAllAvailable()
     finally:
@@ -126,7 +130,7 @@ def test_streaming_with_model_scorer(spark, data_folder, tmp_path):
         stream.request_stream(spark, str(req_dir)), scorer,
         users.select("user_id", F.col("name").alias("user_name")),
         biz.select("business_id", F.col("name").alias("business_name"))),
-        checkpoint=str(tmp_path / "ck"), name="scored_model")
+        checkpoint=str(tmp_path / "ck"), sink="memory", name="scored_model")
     try:
         q.processAllAvailable()
     finally:
