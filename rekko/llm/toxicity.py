@@ -19,8 +19,8 @@ cannot pass for a pattern.
 Null text counts as empty, which is one empty window.  Without labels of both
 classes every score is the share of toxic labels (0 without any).  A document
 labelled twice counts as toxic if any label says so; null labels and labels of
-missing documents are ignored.  Rows repeat as they come; an empty table gives
-no rows.
+missing documents are ignored.  A null id is not held out (it has no label).
+Rows repeat as they come; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -208,7 +208,7 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = 0.3,
         return [pa.array([score(t, model) for t in texts], pa.float64())]
 
     return map_texts(docs, id_col, text_col, [T.StructField("score", T.DoubleType())], make).select(
-        id_col, (~in_training(F.col(id_col))).alias("held_out"), "score",
+        id_col, F.coalesce(~in_training(F.col(id_col)), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
