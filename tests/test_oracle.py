@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from rekko.operators import model as gbt
 from rekko.plans.catalog import QUERIES
 from rekko.plans.oracle import ORACLE
 
@@ -30,7 +31,10 @@ def _norm(records, cols):
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_matches_oracle(spark, con, name):
+def test_query_matches_oracle(spark, con, name, monkeypatch):
+    # the queries fit 300 rounds; here a few are enough to reach every rule of the statement
+    monkeypatch.setitem(gbt.GBT_PARAMS, "maxIter", 20)
+    monkeypatch.setitem(gbt.GBT_PARAMS, "stepSize", 0.3)
     pdf = QUERIES[name](spark, SF001).toPandas()
     rel = con.sql(ORACLE[name])
     odf = rel.df()
