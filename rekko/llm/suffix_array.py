@@ -270,12 +270,12 @@ def deal(rows: DataFrame, length: int, hot: np.ndarray, buckets: int) -> DataFra
                 parts = [found, done]
                 homes = [(mix(p.key ^ ODD) % np.uint64(buckets)).astype(np.int64) for p in parts]
                 orders = [np.argsort(h, kind="stable") for h in homes]
-                cuts = [np.searchsorted(h[o], np.arange(buckets + 1)) for h, o in zip(homes, orders, strict=True)]
+                present = np.unique(np.concatenate(homes))
+                cuts = [[np.searchsorted(h[o], present, side) for side in ("left", "right")]
+                        for h, o in zip(homes, orders, strict=True)]
                 out = []
-                for b in range(buckets):
-                    mine, late = (p.take(o[c[b]:c[b + 1]]) for p, o, c in zip(parts, orders, cuts, strict=True))
-                    if not len(mine.key) + len(late.key):
-                        continue
+                for i, b in enumerate(present.tolist()):
+                    mine, late = (p.take(o[c[i]:d[i]]) for p, o, (c, d) in zip(parts, orders, cuts, strict=True))
                     used, place = np.unique(np.concatenate((mine.doc, late.doc)), return_inverse=True)
                     place = place.astype(np.uint32)
                     cut = len(mine.doc)
@@ -360,7 +360,8 @@ def undecided_texts(rows: DataFrame, undecided: DataFrame, length: int, buckets:
                      flat.field("offset").slice(at, len(data)), pa.array(data, pa.binary())],
                     names=["bucket", "key", "k", "tag", "start", "count", "offset", "bytes"])
 
-    return (rows.join(asked, ["k", "tag"]).select("k", "tag", "text", "asked").mapInArrow(run, schema))
+    # all columns of `rows` stay, so that the last join finds this one's shuffle of the texts again
+    return rows.join(asked, ["k", "tag"]).select("k", "tag", "text", "row", "asked").mapInArrow(run, schema)
 
 
 def equal_windows(k: np.ndarray, key: np.ndarray, count: np.ndarray, offset: np.ndarray, texts: list[bytes],
