@@ -6,9 +6,9 @@ the first place of a run is the one with the smallest document id and position;
 every sentence that lies in a run at a later place is removed, whichever other
 runs it lies in.  A text with fewer sentences has one run, all of it.
 
-A task keeps one row for each run of a batch of documents (its first place there,
-and the later ones, which are repeats whatever the other tasks hold), so a run
-that is everywhere reaches the shuffle once a batch.
+A task keeps one row for each run of a batch of documents, its first place there.
+The later ones are repeats whatever the other tasks hold and travel apart from it,
+so a run that is everywhere reaches its shuffle key once a batch.
 
 Null text counts as empty and has no sentences.  A null id comes after all
 others.  Rows that repeat id and text are one document, and each gets that
@@ -32,6 +32,7 @@ from rekko.llm.common import keyed, slices
 # A sentence with the marks and blanks behind it (the same pattern is in the SQL statement).
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n][.!?\n \t]*|[^.!?\n]+")
 BLANK = " \t\n"
+LATER = 256     # places in one row of known repeats
 
 
 def sentences(text: str) -> tuple[list[str], list[int]]:
@@ -52,9 +53,10 @@ def runs(text: str, span: int) -> list[bytes]:
 
 
 def places(docs: DataFrame, span: int) -> DataFrame:
-    """One row for each run of a batch: hash (``h``, ``g``), first place (``k``, ``t``, ``pos``)
-    and ``later`` places, the latter as rows of three little-endian longs in one binary."""
+    """One row for each run of a batch: hash (``h``, ``g``) and first place (``k``, ``t``, ``pos``);
+    and rows of up to ``LATER`` further places, three little-endian longs each in one binary."""
     schema = "h long, g long, k long, t long, pos long, later binary"
+    names = ["h", "g", "k", "t", "pos", "later"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,10 +79,16 @@ def places(docs: DataFrame, span: int) -> DataFrame:
                     continue
                 hashes = np.frombuffer(b"".join(first), dtype="<i8").reshape(-1, 2)
                 place = np.array(list(first.values()), dtype=np.int64)
-                rest = [np.array(later[h], dtype="<i8").tobytes() if h in later else None for h in first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (*hashes.T, *place.T)] + [pa.array(rest, pa.binary())],
-                    names=["h", "g", "k", "t", "pos", "later"])
+                    [pa.array(x) for x in (*hashes.T, *place.T)] + [pa.nulls(len(first), pa.binary())], names=names)
+                rest = np.array([x for found in later.values() for x in found], dtype="<i8").reshape(-1, 3)
+                parts = [rest[at:at + LATER] for at in range(0, len(rest), LATER)]
+                if parts:
+                    # known repeats need no judging: a key of their own spreads them
+                    none = [pa.nulls(len(parts), pa.int64())] * 3
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(x[0, 0]) for x in parts]), pa.array([-1 - int(x[0, 2]) for x in parts]), *none,
+                         pa.array([x.tobytes() for x in parts], pa.binary())], names=names)
 
     return docs.select("k", "t", "text").mapInArrow(run, schema)
 
