@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,15 @@ from rekko.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# What the queries persist, so that later ones find it again; see release().
+_KEPT: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist everything the registered queries have persisted."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
 
 def _supplier_names(spark, sf_dir):
     return tables.table(spark, sf_dir, "supplier", "s_suppkey", "s_name").select(
@@ -31,8 +41,6 @@ def _customer_names(spark, sf_dir):
 
 
 def _train(spark, sf_dir, item="supplier"):
-    # Nothing is persisted: a query that reads the ratings several times shares
-    # its shuffles (ReusedExchange), and leaves nothing in executor storage.
     return tables.ratings(spark, sf_dir, item=item, split="train")
 
 
@@ -95,27 +103,36 @@ def q_first_item_sample(spark, sf_dir):
 
 def q_co_rating_sums(spark, sf_dir):
     train = _train(spark, sf_dir)
-    sums = sim.unscaled_sums(sim.co_rating_sums(train))
+    sums = sim.unscaled_sums(sim.co_rating_sums(train, kept=_KEPT))
     return sums.select(F.col("a").alias("business_id"), F.col("b").alias("other_id"),
                        "sxy", "sxx", "syy", F.col("n").alias("co_users"))
 
 
 def q_item_similarity(spark, sf_dir):
-    sums = sim.co_rating_sums(_train(spark, sf_dir), min_raters=20)
+    sums = sim.co_rating_sums(_train(spark, sf_dir), min_raters=20, min_pair_count=20, kept=_KEPT)
     return sim.pair_similarity(sums, min_cousers=20).select(
         F.col("a").alias("business_id"), F.col("b").alias("other_id"),
         "sim", "corr", "co_users")
 
 
+def _topk(spark, sf_dir):
+    """The top-k table, persisted lazily with the ratings behind it: at most 50 rows an item,
+    read by the candidate and recommendation queries.  release() frees both."""
+    topk = sim.item_topk(_train(spark, sf_dir), topk=50, min_cousers=20, kept=_KEPT).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(topk)
+    return topk
+
+
 def q_item_topk(spark, sf_dir):
-    return sim.item_topk(_train(spark, sf_dir), topk=50, min_cousers=20)
+    return _topk(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- candidates
 
 def _candidates(spark, sf_dir, max_pool):
     train = _train(spark, sf_dir)
-    topk = sim.item_topk(train, topk=50, min_cousers=20)
+    topk = _topk(spark, sf_dir)
     return cand.candidates(tables.customers(spark, sf_dir), train, topk,
                            per_item_k=20, max_pool=max_pool)
 
@@ -273,7 +290,7 @@ def _places(spark, sf_dir):
 def q_recommend(spark, sf_dir):
     from rekko.operators.recommend import recommend
     train = _train(spark, sf_dir)
-    topk = sim.item_topk(train, topk=50, min_cousers=20)
+    topk = _topk(spark, sf_dir)
     return recommend(tables.customers(spark, sf_dir), train, topk, _bias(spark, sf_dir),
                      _customer_names(spark, sf_dir), _places(spark, sf_dir), k=10)
 
@@ -358,7 +375,7 @@ def q_recommend_model(spark, sf_dir):
     m, fp = _fitted_model(spark, sf_dir, *(x.select("user_id", "business_id", "label") for x in (train, val)),
                           "supplier")
     ratings = _train(spark, sf_dir)
-    topk = sim.item_topk(ratings, topk=50, min_cousers=20)
+    topk = _topk(spark, sf_dir)
     users = tables.customers(spark, sf_dir)
     top = recommend(users, ratings, topk, ModelScorer(m, fp), _customer_names(spark, sf_dir),
                     _places(spark, sf_dir), k=10)

@@ -141,7 +141,7 @@ def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_mode
 
     # 5) similarities and artifacts
     t3 = time.time()
-    topk_df = cut_lineage(sim.item_topk(inputs.train, topk=topk, min_cousers=min_cousers))
+    topk_df = cut_lineage(sim.item_topk(inputs.train, topk=topk, min_cousers=min_cousers, kept=kept))
     artifacts.save(art_dir, {
         "ratings": inputs.train,
         "item_stats": item_means(inputs.train),
