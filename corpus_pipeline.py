@@ -17,8 +17,10 @@ from rekko.llm.queries import BYTES, RANKS, tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier rejects go."""
+    """Documents that the compression classifier rejects go; none does where it could learn nothing."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    if model.weights is None:
+        return docs
     return docs.filter(toxicity.score_column(model) < 0.3)
 
 

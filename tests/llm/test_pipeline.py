@@ -43,6 +43,19 @@ def test_stages_against_brute_force(spark, make_docs, odd_rows):
     assert not any(s["base"] for s in pii.spans_of(clean["text"]))
 
 
+@pytest.mark.parametrize("labels", [
+    [(i, 1) for i in range(40)], [(i, 0) for i in range(40)], [(i, int(i < 20)) for i in range(40)], []])
+def test_nothing_learned_drops_nothing(spark, tmp_path, labels):
+    """Labels of one class, too few different texts of a class, no labels: every document passes."""
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame([(i, "the same clean text" if i < 20 else f"clean text {i}", "en", "s", 20)
+                                  for i in range(40)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.dtypes == docs.dtypes
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+
+
 def test_empty_documents_pass_through(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
