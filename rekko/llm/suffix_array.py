@@ -15,7 +15,8 @@ picks an anchor; equal windows pick the same one, so only suffixes at anchors
    orders tell for every window which others equal it; the smallest id stays.
 
 Segments are judged within each batch before the shuffle, so a passage that is
-everywhere reaches it once a batch.  An anchor that many different segments share
+everywhere reaches its bucket once a batch; the spans this covers travel under keys of
+their own.  An anchor that many different segments share
 (found by a first pass; their number is bounded) is replaced by its windows, each
 an anchor of its own, so no bucket collects one anchor's documents.
 
@@ -44,6 +45,7 @@ PLACE = 24                      # bits of a position within a block
 HOT_SHARE = 1 / 20_000          # of all segments; an anchor with more is replaced by its windows
 HOT_LEAST = 1000
 BUCKET_SEGMENTS, BUCKET_TEXTS = 500_000, 50_000
+COVERED_SPANS = 50_000          # spans in one row of those covered within a batch
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MORE = np.uint64(0xD6E8FEB86659FD93)
@@ -261,28 +263,32 @@ COVERED = [(np.uint32, 3), (np.uint32, 4), (np.uint8, 1)]
 
 
 def deal(rows: DataFrame, length: int, hot: np.ndarray, buckets: int) -> DataFrame:
-    """(``bucket``, ``docs``, ``segments``, ``covered``): packed segments of a batch for each bucket."""
+    """(``bucket``, ``docs``, ``segments``, ``covered``): packed segments of a batch for each bucket;
+    and rows of up to ``COVERED_SPANS`` spans covered within the batch, under negative keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole.select(["k", "text", "tag"]), 32_000_000):
                 k, tag, texts = sorted_batch(batch)
                 found, done = within_batch(segments(texts, length, hot), k)
-                parts = [found, done]
-                homes = [(mix(p.key ^ ODD) % np.uint64(buckets)).astype(np.int64) for p in parts]
-                orders = [np.argsort(h, kind="stable") for h in homes]
-                present = np.unique(np.concatenate(homes))
-                cuts = [[np.searchsorted(h[o], present, side) for side in ("left", "right")]
-                        for h, o in zip(homes, orders, strict=True)]
+                home = (mix(found.key ^ ODD) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(home, kind="stable")
+                present = np.unique(home)
+                cuts = [np.searchsorted(home[order], present, side).tolist() for side in ("left", "right")]
                 out = []
-                for i, b in enumerate(present.tolist()):
-                    mine, late = (p.take(o[c[i]:d[i]]) for p, o, (c, d) in zip(parts, orders, cuts, strict=True))
-                    used, place = np.unique(np.concatenate((mine.doc, late.doc)), return_inverse=True)
-                    place = place.astype(np.uint32)
-                    cut = len(mine.doc)
+                for b, c, d in zip(present.tolist(), *cuts, strict=True):
+                    mine = found.take(order[c:d])
+                    used, place = np.unique(mine.doc, return_inverse=True)
                     out.append((b, pack([k[used], narrow(tag[used], 4)]),
-                                pack([narrow(mine.key & KEY, 5), mine.seg, narrow(place[:cut], 3), mine.start,
-                                      mine.count, mine.offset]),
-                                pack([narrow(place[cut:], 3), late.start, late.count])))
+                                pack([narrow(mine.key & KEY, 5), mine.seg, narrow(place.astype(np.uint32), 3),
+                                      mine.start, mine.count, mine.offset]), None))
+                for c in range(0, len(done.key), COVERED_SPANS):
+                    late = done.take(slice(c, c + COVERED_SPANS))
+                    used, place = np.unique(late.doc, return_inverse=True)
+                    # they need no judging: a key of their own spreads them
+                    at = used[:1]
+                    own = mix(mix(late.seg[:1] + tag[at].view(np.uint64)) + k[at].view(np.uint64) + np.uint64(c))
+                    out.append((-1 - int(own[0] >> np.uint64(33)), pack([k[used], narrow(tag[used], 4)]), None,
+                                pack([narrow(place.astype(np.uint32), 3), late.start, late.count])))
                 for at in range(0, len(out), 64):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), t) for c, t in zip(zip(*out[at:at + 64], strict=True), (
@@ -297,39 +303,41 @@ def judge(dealt: DataFrame, length: int) -> DataFrame:
     """Spans that are covered (``key`` null) and segments still undecided (with their anchor)."""
     schema = "k long, tag long, start int, count int, offset int, key long"
 
+    def spans_and_left(columns: list[np.ndarray], key: np.ndarray, n: int) -> pa.Table:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        return pa.table([*(pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)),
+                         pa.array(key, mask=np.arange(len(key)) < n)],
+                        names=["k", "tag", "start", "count", "offset", "key"])
+
     def run(table: pa.Table) -> pa.Table:
         columns: list[list[np.ndarray]] = []
         covered: list[list[np.ndarray]] = []
         for docs, packed, late in zip(*(table.column(c).to_pylist() for c in ("docs", "segments", "covered")),
                                       strict=True):
             k, tag = unpack(docs, DOCS)
-            key, seg, doc, start, count, offset = unpack(packed, PACKED)
-            columns.append([key, seg, k[doc], tag[doc], start, count, offset])
-            doc, start, count = unpack(late, COVERED)
-            covered.append([k[doc], tag[doc], start, count])
+            if late is None:
+                key, seg, doc, start, count, offset = unpack(packed, PACKED)
+                columns.append([key, seg, k[doc], tag[doc], start, count, offset])
+            else:
+                doc, start, count = unpack(late, COVERED)
+                covered.append([k[doc], tag[doc], start, count])
+        if not columns:         # spans covered within their batch only
+            done = [np.concatenate(c) for c in zip(*covered, strict=True)]
+            n = len(done[0])
+            return spans_and_left([*done, np.zeros(n, np.uint8)], np.zeros(n, np.int64), n)
         key, seg, k, tag, start, count, offset = (np.concatenate(c) for c in zip(*columns, strict=True))
         order = np.lexsort((k, seg, key))
         key, seg, k, tag, start, count, offset = (c[order] for c in (key, seg, k, tag, start, count, offset))
-        if len(key):
-            new_key = np.concatenate(([True], key[1:] != key[:-1]))
-            new_seg = new_key | np.concatenate(([True], seg[1:] != seg[:-1]))
-            of_key, of_seg = np.cumsum(new_key) - 1, np.cumsum(new_seg) - 1
-            at = np.nonzero(new_key)[0]
-            several = (np.add.reduceat(new_seg, at) > 1) & (np.minimum.reduceat(k, at) < np.maximum.reduceat(k, at))
-            late = k > k[new_seg][of_seg]
-            open_ = several[of_key] & ~late
-        else:
-            late = open_ = np.zeros(0, dtype=bool)
-        done = [np.concatenate((own[late], *rest)) for own, rest in zip(
-            (k, tag, start, count), zip(*covered, strict=True), strict=True)]
-        n = len(done[0])
-        left = [x[open_] for x in (k, tag, start, count, offset)]
-        both = [np.concatenate((a, b)) for a, b in zip([*done, np.zeros(n, np.uint8)], left, strict=True)]
-        name = pa.array(np.concatenate((np.zeros(n, np.int64), key[open_].view(np.int64))),
-                        mask=np.arange(n + int(open_.sum())) < n)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-        return pa.table([*(pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(both, kinds, strict=True)),
-                         name], names=["k", "tag", "start", "count", "offset", "key"])
+        new_key = np.concatenate(([True], key[1:] != key[:-1]))
+        new_seg = new_key | np.concatenate(([True], seg[1:] != seg[:-1]))
+        of_key, of_seg = np.cumsum(new_key) - 1, np.cumsum(new_seg) - 1
+        at = np.nonzero(new_key)[0]
+        several = (np.add.reduceat(new_seg, at) > 1) & (np.minimum.reduceat(k, at) < np.maximum.reduceat(k, at))
+        late = k > k[new_seg][of_seg]
+        open_ = several[of_key] & ~late
+        n = int(late.sum())
+        both = [np.concatenate((x[late], x[open_])) for x in (k, tag, start, count, offset)]
+        return spans_and_left(both, np.concatenate((np.zeros(n, np.int64), key[open_].view(np.int64))), n)
 
     return dealt.groupBy("bucket").applyInArrow(run, schema)
 

@@ -75,6 +75,27 @@ def test_suffix_array_near_copies(make_docs):
     assert got == Counter((i, *x) for (i, _), x in zip(rows, cut(rows), strict=True))
 
 
+def test_spans_covered_in_a_batch_stay_out_of_the_buckets(spark, make_docs, monkeypatch):
+    """A passage that stands in every row reaches its bucket once; the other spans come in rows of a
+    bounded size, each under a key of its own."""
+    monkeypatch.setattr(suffix_array, "COVERED_SPANS", 100, raising=False)
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(50))
+    rows = [(i, passage) for i in range(2000)]
+    keyed = suffix_array.keyed(make_docs(rows).coalesce(1), "doc_id", "text").select(
+        "k", suffix_array.tag_of(suffix_array.F.col("t")).alias("tag"), "text")
+    dealt = suffix_array.deal(keyed, 50, np.zeros(0, np.uint64), 1).collect()
+    judged = [r for r in dealt if r["bucket"] >= 0]
+    assert sum(len(suffix_array.unpack(r["segments"], suffix_array.PACKED)[0]) for r in judged) == len(judged)
+    late = [r for r in dealt if r["bucket"] < 0]
+    sizes = [len(suffix_array.unpack(r["covered"], suffix_array.COVERED)[0]) for r in late]
+    assert not any(r["covered"] for r in judged)
+    assert max(sizes) <= 100 and sum(sizes) == 2000 - len(judged)
+    assert len({r["bucket"] for r in late}) == len(late)
+    found = suffix_array.dedup_bytes(make_docs(rows), 50).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in found) == [(i, 50 * (i > 0)) for i in range(2000)]
+
+
 def test_long_text_in_blocks(monkeypatch):
     """A text longer than a block gives the same windows, each once."""
     monkeypatch.setattr(suffix_array, "BLOCK", 256)
