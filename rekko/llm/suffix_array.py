@@ -384,10 +384,11 @@ def equal_windows(k: np.ndarray, key: np.ndarray, count: np.ndarray, offset: np.
         after[i, :min(length, len(text) - o)] = right[o:o + length]
         before[i, :o] = right[:o][::-1]
     right_size = np.minimum(length, count.astype(np.int64) + length - 1 - offset)
-    right = deep_shallow(after, groups, shallow=24)
-    left = deep_shallow(before, groups, shallow=8)
+    left_size = offset.astype(np.int64)
+    right = deep_shallow(after, groups, 24, right_size)
+    left = deep_shallow(before, groups, 8, left_size)
     right_common = common_prefixes(after, right_size, groups, right)
-    left_common = common_prefixes(before, offset.astype(np.int64), groups, left)
+    left_common = common_prefixes(before, left_size, groups, left)
     out = np.zeros((n, reach), dtype=bool)
     ends, starts = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for o in range(reach):

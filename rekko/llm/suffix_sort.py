@@ -68,15 +68,18 @@ class BlindTrie:
         return out
 
 
-def deep_shallow(strings: np.ndarray, groups: np.ndarray, shallow: int) -> np.ndarray:
+def deep_shallow(strings: np.ndarray, groups: np.ndarray, shallow: int,
+                 lengths: np.ndarray | None = None) -> np.ndarray:
     """Order of the rows by (group, string).
 
     ``strings`` has rows of equal, zero-padded length (a multiple of 8), of
     which the first ``shallow`` bytes (a multiple of 8) are sorted by multikey
-    quicksort.
+    quicksort.  Of rows that are equal with their padding the one with the
+    smaller of ``lengths`` comes first, as zeros may belong to a string.
     """
     words = words_of(strings)
-    order = np.argsort(groups, kind="stable")
+    # every later step is stable, so equal rows stay in this order
+    order = np.argsort(groups, kind="stable") if lengths is None else np.lexsort((lengths, groups))
     tied = groups[order]                            # equal numbers: still tied
     for step in range(shallow // 8):
         first = np.concatenate(([True], tied[1:] != tied[:-1]))

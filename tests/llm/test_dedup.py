@@ -75,6 +75,39 @@ def test_suffix_array_near_copies(make_docs):
     assert got == Counter((i, *x) for (i, _), x in zip(rows, cut(rows), strict=True))
 
 
+def test_suffix_array_nul_bytes(make_docs):
+    """Runs of NUL bytes are not taken for the padding behind shorter strings."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        middle = "".join(rng.choice("ab") for _ in range(rng.randrange(3)))
+        rows.append((i, "\0" * rng.randrange(60) + middle + "\0" * rng.randrange(60) + rng.choice(["", "a", "b"])))
+    found = suffix_array.dedup_bytes(make_docs(rows, clash=False), 50).collect()
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(bytes(r["kept"]))) for r in found)
+    assert got == Counter((i, *x) for (i, _), x in zip(rows, cut(rows), strict=True))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.binary(max_size=40).map(lambda b: bytes(c % 2 for c in b)), max_size=30))
+def test_equal_padded_strings_by_length(items):
+    strings = np.zeros((len(items), 40), np.uint8)
+    for i, b in enumerate(items):
+        strings[i, :len(b)] = list(b)
+    groups, sizes = np.zeros(len(items), np.int64), np.array([len(b) for b in items], dtype=np.int64)
+    for shallow in (0, 8, 24):
+        order = suffix_sort.deep_shallow(strings, groups, shallow, sizes)
+        assert [items[i] for i in order] == sorted(items)
+
+
+def test_equal_windows_across_a_shorter_string():
+    """Two equal windows of NUL bytes with a shorter string between them."""
+    gram = bytes(range(1, 21))
+    long_, short = b"\0" * 3 + gram + b"\0" * 30, b"\0" + gram + b"\0" * 30
+    late = suffix_array.equal_windows(np.array([1, 2, 3]), np.zeros(3, np.int64), np.array([4, 2, 4]),
+                                      np.array([3, 1, 3]), [long_, short, long_], 50)
+    assert late[:, :4].tolist() == [[False] * 4, [True, True, False, False], [True] * 4]
+
+
 def test_spans_covered_in_a_batch_stay_out_of_the_buckets(spark, make_docs, monkeypatch):
     """A passage that stands in every row reaches its bucket once; the other spans come in rows of a
     bounded size, each under a key of its own."""
