@@ -108,13 +108,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def added_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans of the weaker patterns that do not touch a base span or each other."""
     found = []
-    for m in IBAN.finditer(text):
+    m = IBAN.search(text)
+    while m:
         # the pattern is greedy: give back trailing groups until the check digits agree
-        whole = m.group()
+        whole, after = m.group(), m.start() + 1
         for end in [len(whole), *(i for i in range(len(whole) - 1, 14, -1) if whole[i] == " ")]:
             if 15 <= len(c := whole[:end].replace(" ", "")) <= 34 and mod97(c):
-                found.append(("iban", m.start(), m.start() + end))
+                after = m.start() + end
+                found.append(("iban", m.start(), after))
                 break
+        m = IBAN.search(text, after)    # what was given back may hold the next one
     for m in DOTTED_CARD.finditer(text):
         if luhn(only_digits(m.group())):
             found.append(("card", *m.span()))

@@ -40,6 +40,22 @@ def test_added_spans():
     assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB83WEST12345698765432")
 
 
+@pytest.mark.parametrize("text, want", [
+    ("GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00",
+     ["GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"]),
+    ("AB12 INVOICE DE89370400440532013000", ["DE89370400440532013000"]),
+    ("AB12 CD34 GB82WEST12345698765432 XY56 DE89370400440532013000 END",
+     ["GB82WEST12345698765432", "DE89370400440532013000"]),
+    ("XDE89370400440532013000 DE00370400440532013000", [])])
+def test_ibans_behind_others(text, want):
+    assert [text[a:b] for kind, a, b in pii.added_spans(text, []) if kind == "iban"] == want
+
+
+def test_iban_starts_take_linear_time():
+    for text in ("AA11 " * 30_000, "AA11" * 30_000, "AA11BB22CC33DD44 " * 8_000):
+        pii.spans_of(text)
+
+
 def test_pii_query(make_docs, odd_rows):
     rows = [(i, t) for i, t in odd_rows if i not in (105, 106)]
     rows += [(900, "é a@b.c 1.2.3.4 4720843956327690 +1 (826) 555-4081 x@y.zz"), (901, "a@b.c" * 3)]
