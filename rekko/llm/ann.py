@@ -11,8 +11,10 @@ inner products on the original vectors.
 All rows are coded and searched: the queries meet the candidates block by
 block, so nothing is fitted on a sample.  Vectors that are null or zero, or hold
 null or non-finite components, take no part, nor do rows without an id or of
-another length than the most common one.  Repeated rows count once.  Ties go to
-the smaller id.  An empty table gives no rows.
+another length than the most common one.  Rows that repeat id and vector count
+once.  Different vectors under one id are all candidates, but not of their own
+id's queries, which are ranked together.  Ties go to the smaller id.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rekko.llm.vectors import grid, meet, ranked, same_length, usable
+from rekko.llm.vectors import grid, meet, own_rows, ranked, same_length, usable
 
 
 # The eight signs that a packed byte stands for, one column for each byte value.
@@ -73,18 +75,17 @@ class Codes:
             total += table.take(column)
         return self.centre @ query + total * self.scale, self.error * np.sqrt(query @ query)
 
-    def search(self, query: np.ndarray, own: int, k: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and exact scores of the ``k`` best (``own`` is left out; -1: none)."""
+    def search(self, query: np.ndarray, own: slice, k: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and exact scores of the ``k`` best (``own`` is left out)."""
         about, unit = self.estimate(query)
         low, high = about - bound * unit, about + bound * unit
-        if own >= 0:
-            low[own] = high[own] = -np.inf
-        n = len(low) - (own >= 0)
+        low[own] = high[own] = -np.inf
+        n = len(low) - (own.stop - own.start)
         if n > k:
             keep = np.nonzero(high >= np.partition(low, -k)[-k])[0]
         else:
             keep = np.arange(len(low))
-        keep = keep[keep != own]
+        keep = keep[(keep < own.start) | (keep >= own.stop)]
         if len(keep) > 4 * k:       # a quick product first, with room for its rounding
             quick = self.vectors[keep] @ query
             edge = np.partition(quick, -k)[-k]
@@ -107,9 +108,7 @@ def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, bound: float
 
     def search(ids, block, query_ids, queries) -> Iterator[tuple]:
         codes = Codes(block, seed)
-        at = np.searchsorted(ids, query_ids)
-        for q, vector, i in zip(query_ids, queries, at, strict=True):
-            own = int(i) if i < len(ids) and ids[i] == q else -1
+        for q, vector, own in zip(query_ids, queries, own_rows(ids, query_ids), strict=True):
             found, scores = codes.search(vector, own, k, bound)
             yield q, ids[found], scores
 

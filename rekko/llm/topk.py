@@ -9,8 +9,9 @@ once it is below the k-th score the search stops.
 
 Vectors that are null or hold null or non-finite components take no part, nor
 do rows without an id or of another length than the most common one; zero
-vectors do.  Repeated rows count once.  Ties go to the smaller id.  Scores
-beyond the range of a long are held at its ends.  An empty table gives no rows.
+vectors do.  Rows that repeat id and vector count once.  Different vectors under
+one id are all candidates, but not of their own id's queries, which are ranked
+together.  Ties go to the smaller id.  Scores beyond the range of a long are held at its ends.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rekko.llm.vectors import grid, meet, ranked, same_length, usable
+from rekko.llm.vectors import grid, meet, own_rows, ranked, same_length, usable
 
 LONG = 2 ** 63 - 1
 
@@ -46,11 +47,10 @@ class SortedLists:
         self.values = values
         self.order = np.ascontiguousarray(np.argsort(values.astype(np.float64), axis=0, kind="stable").T)
 
-    def search(self, query: np.ndarray, own: int, k: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, query: np.ndarray, own: int | slice, k: int, first: int) -> tuple[np.ndarray, np.ndarray]:
         n, d = self.values.shape
         met = np.zeros(n, dtype=bool)
-        if own >= 0:
-            met[own] = True
+        met[own] = True
         ids, scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=self.values.dtype)
         up, down = np.nonzero(query > 0)[0], np.nonzero(query < 0)[0]
         depth, step = 0, first
@@ -90,9 +90,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, first_depth: in
     def search(ids, block, query_ids, queries) -> Iterator[tuple]:
         both = whole_numbers(np.concatenate((block, queries)))
         lists, wanted = SortedLists(both[:len(block)]), both[len(block):]
-        at = np.searchsorted(ids, query_ids)
-        for q, vector, i in zip(query_ids, wanted, at, strict=True):
-            own = int(i) if i < len(ids) and ids[i] == q else -1
+        for q, vector, own in zip(query_ids, wanted, own_rows(ids, query_ids), strict=True):
             found, scores = lists.search(vector, own, k, first_depth)
             yield q, ids[found], np.clip(scores, -LONG, LONG).astype(np.int64)
 

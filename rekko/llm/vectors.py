@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 def usable(vectors: DataFrame, id_col: str, vector_col: str, allow_zero: bool) -> DataFrame:
     """(``id``, ``v`` as array of double) of the rows with an id and a finite vector.
 
-    An id stands for one vector: repeated rows count once (of different vectors
-    under one id the smallest, component by component, is taken).
+    Rows that repeat id and vector count once; different vectors under one id all stay.
     """
     out = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     out = out.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & finite)
     out = out if allow_zero else out.filter(F.exists("v", lambda x: x != 0.0))
-    return out.groupBy("id").agg(F.min("v").alias("v"))
+    return out.distinct()
 
 
 def grid(vectors: DataFrame, is_query: Column, block_rows: int, query_rows: int) -> DataFrame:
@@ -28,13 +27,13 @@ def grid(vectors: DataFrame, is_query: Column, block_rows: int, query_rows: int)
 
     A row of the result belongs to a meeting (``c``, ``q``) of one candidate
     block and one query block; ``side`` is 0 for a candidate, 1 for a query.
-    Blocks are cut by a hash of the id, so no block depends on the data's order;
+    Blocks are cut by a hash of the row, so no block depends on the data's order;
     the two counts that set their number are the only figures the driver reads.
     """
     n, m = vectors.agg(F.count("*"), F.count_if(is_query)).first()
     blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-m // query_rows))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    query_block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int")
+    block = F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")
+    query_block = F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(query_blocks)).cast("int")
     candidates = vectors.select(
         F.lit(0).alias("side"), block.alias("c"),
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), "id", "v")
@@ -74,6 +73,12 @@ def meet(dealt: DataFrame, search: Callable, score_type: str) -> DataFrame:
     return dealt.groupBy("c", "q").applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
 
 
+def own_rows(ids: np.ndarray, query_ids: np.ndarray) -> list[slice]:
+    """For each query the places of its own id in the sorted ``ids``."""
+    sides = [np.searchsorted(ids, query_ids, side).tolist() for side in ("left", "right")]
+    return [slice(a, b) for a, b in zip(*sides, strict=True)]
+
+
 def same_length(vectors: DataFrame) -> DataFrame:
     """Only vectors of the most common length (ties: the smaller) can be compared."""
     row = (vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first())
