@@ -14,7 +14,9 @@ Only labelled rows of the training part are learned from, at most
 ``sample_rows`` of each class of at most ``sample_chars`` characters (a bound on
 what the driver holds); scoring reads every window of every text.  Near copies
 of a sampled document are left out of the sample, so that one copied text
-cannot pass for a pattern.
+cannot pass for a pattern.  The ordinary dictionary is trained on every n-th window of
+a sampled text, n being its characters over ``train_stride`` (1 at least), so that a long
+text does not outweigh the others.
 
 Null text counts as empty, which is one empty window.  Without labels of both
 classes every score is the share of toxic labels (0 without any).  A document
@@ -142,7 +144,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(toxic: list[str], ordinary: list[str], share: float) -> Model:
+def train(toxic: list[str], ordinary: list[str], share: float, train_stride: int = 256) -> Model:
     """Fit on two lists of distinct texts; ``share`` is the share of toxic labels."""
     import zstandard
 
@@ -150,7 +152,7 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> Model:
     cut_a, cut_b = len(toxic) * 2 // 3, len(ordinary) * 2 // 3
     if not cut_a or not cut_b:
         return Model(b"", b"", None, share)
-    samples = [w for t in ordinary[:cut_b] for w in windows(t)[::max(1, len(t) // 256)]]
+    samples = [w for t in ordinary[:cut_b] for w in windows(t)[::max(1, len(t) // train_stride)]]
     try:
         plain = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:     # too little text to train on: the text itself
@@ -176,7 +178,7 @@ def in_training(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, sample_chars: int = 20_000,
-        id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+        id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_stride: int = 256) -> Model:
     """Learn from a bounded sample of the labelled training documents, chosen by a hash of the id."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
              .filter("id IS NOT NULL AND toxic IN (0, 1)").filter(in_training(F.col("id")))
@@ -198,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, sample_char
     for value in (0, 1):
         some = rows.filter(F.col("toxic") == value).orderBy(order, "id", "text").limit(sample_rows)
         texts[value] = [r["text"] for r in some.select("text").collect()]
-    return train(texts[1], texts[0], share)
+    return train(texts[1], texts[0], share, train_stride)
 
 
 def toxicity(docs: DataFrame, model: Model, threshold: float = 0.3,

@@ -132,3 +132,18 @@ def test_nothing_to_learn(make_docs, spark):
     few = toxicity.fit(docs, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int"))
     assert all(0 <= r["score"] <= 1 for r in toxicity.toxicity(docs, few).collect())
     assert pii.find_pii(make_docs([])).collect() == []
+
+
+def test_train_stride_thins_long_texts(monkeypatch):
+    """With a stride no text reaches, the ordinary dictionary is trained on every window."""
+    import zstandard
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["oak", "elm", "ash", "fir", "yew"]) + str(rng.randrange(99)) for _ in range(400))
+             for _ in range(9)]
+    sizes = []
+    monkeypatch.setattr(zstandard, "train_dictionary", lambda n, samples: sizes.append(len(samples)) or
+                        zstandard.ZstdCompressionDict(b"".join(samples)[:n]))
+    for stride in (256, 10 ** 9):
+        toxicity.train(texts[:3], texts[3:], 0.5, train_stride=stride)
+    assert sizes[1] == sum(len(toxicity.windows(t)) for t in texts[3:7]) > 5 * sizes[0]
