@@ -5,7 +5,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF001
+from datapaths import SF001
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

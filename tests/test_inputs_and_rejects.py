@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from datapaths import SF001
 from rekko.operators import encoding, stats
 from rekko.operators.scoring import BiasScorer, rejected, score_pairs, score_pairs_rejects
 from rekko.schema import order_key

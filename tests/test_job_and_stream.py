@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from datapaths import SF001
 from rekko.operators import model as gbt
 from rekko.operators.scoring import BiasScorer
 from rekko.plans import train_eval

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from datapaths import SF001
 from rekko.operators import model as gbt
 from rekko.plans.catalog import QUERIES
 from rekko.plans.oracle import ORACLE

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF001
+from datapaths import SF001
 from rekko.operators import candidates as cand
 from rekko.operators import similarity as sim
 from rekko.sources import tables

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from datapaths import SF001
 from rekko.operators import stats
 from rekko.sources import tables
 
