@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekko.llm import (ann, packing, pii, sentence_spans, sentencepiece_bpe, simhash, suffix_array, token_counts,
+from rekko.llm import (ann, line_runs, packing, pii, sentence_spans, sentencepiece_bpe, simhash, suffix_array, token_counts,
                        topk, toxicity)
 from rekko.llm.common import table
 
@@ -64,8 +64,13 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.dedup_lines(table(spark, sf_dir, "documents"), min_chars=10)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op3_suffix_array, op4_token_counts, op5_ann,
-                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans)}
+                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans, op11_line_runs)}
 
 ORACLE = {
     "op9_topk": """
@@ -107,4 +112,19 @@ ORACLE = {
         FROM documents LEFT JOIN k USING (doc_id)
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM f GROUP BY 1) s USING (doc_id)
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM g GROUP BY 1) h USING (doc_id)""",
+    "op11_line_runs": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS i FROM (
+                SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)
+        ), k AS (
+            SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+        ), f AS (
+            SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY 1 HAVING count(DISTINCT doc_id) > 1
+        ), g AS (
+            SELECT k.doc_id, i, line, coalesce(k.doc_id > f.first, false) AS gone FROM k LEFT JOIN f ON k.key = f.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM g GROUP BY 1""",
 }
