@@ -31,12 +31,12 @@ def texts_only(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def map_texts(docs: DataFrame, id_col: str, text_col: str, fields: list[T.StructField],
-              make: Callable[[list[str]], list[pa.Array]], slice_chars: int = 4_000_000) -> DataFrame:
+              make: Callable[..., list[pa.Array]], slice_chars: int = 4_000_000, with_ids: bool = False) -> DataFrame:
     """One output row per document: the id and the columns ``make`` computes.
 
     ``make`` gets the texts of a slice of an Arrow batch (about
-    ``slice_chars`` characters, one document at least) and returns one Arrow
-    array per field, so the memory of a task is bounded by the slice.
+    ``slice_chars`` characters, one document at least), and their ids with ``with_ids``,
+    and returns one Arrow array per field, so the memory of a task is bounded by the slice.
     """
     schema = T.StructType([T.StructField(id_col, id_type(docs, id_col)), *fields])
     names = [id_col, *(f.name for f in fields)]
@@ -44,8 +44,9 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, fields: list[T.Struct
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, slice_chars):
+                ids = [part.column(0).to_pylist()] if with_ids else []
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *make(part.column(1).to_pylist())], names=names)
+                    [part.column(0), *make(part.column(1).to_pylist(), *ids)], names=names)
 
     return texts_only(docs, id_col, text_col).mapInArrow(run, schema)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekko.llm import (ann, line_runs, packing, pii, sentence_spans, sentencepiece_bpe, simhash, suffix_array, token_counts,
-                       topk, toxicity)
+from rekko.llm import (ann, fill_in_middle, line_runs, packing, pii, sentence_spans, sentencepiece_bpe, simhash,
+                       suffix_array, token_counts, topk, toxicity)
 from rekko.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -69,8 +69,13 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(
+        table(spark, sf_dir, "documents"), unit="line", seed=7, rate=100, spm_rate=50))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op3_suffix_array, op4_token_counts, op5_ann,
-                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans, op11_line_runs)}
+                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans, op11_line_runs, op13_fill_in_middle)}
 
 ORACLE = {
     "op9_topk": """
@@ -127,4 +132,25 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM g GROUP BY 1""",
+    "op13_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                sha256(concat('7:', doc_id::VARCHAR)) AS x FROM documents
+        ), h AS (
+            SELECT doc_id, text, u, len(u) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+                ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d
+        ), c AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+        ), p AS (
+            SELECT doc_id, n, form, text, coalesce(array_to_string(u[1:a], ''), '') AS pre,
+                coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+                coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM c
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+                ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+            sha256(text) AS restored_sha256 FROM p""",
 }
