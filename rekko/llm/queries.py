@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekko.llm import (ann, fill_in_middle, line_runs, packing, pii, sentence_spans, sentencepiece_bpe, simhash,
-                       suffix_array, token_counts, topk, toxicity)
+from rekko.llm import (ann, fill_in_middle, line_runs, packing, periodic_runs, pii, sentence_spans, sentencepiece_bpe,
+                       simhash, suffix_array, token_counts, topk, toxicity)
 from rekko.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -69,13 +69,19 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.collapse_runs(docs, min_words=24, repeats=3))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.fill_in_middle(
         table(spark, sf_dir, "documents"), unit="line", seed=7, rate=100, spm_rate=50))
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op3_suffix_array, op4_token_counts, op5_ann,
-                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans, op11_line_runs, op13_fill_in_middle)}
+                                   op6_toxicity, op7_pii, op8_packing, op9_topk, op10_sentence_spans, op11_line_runs, op12_periodic_runs,
+                                   op13_fill_in_middle)}
 
 ORACLE = {
     "op9_topk": """
