@@ -1,0 +1,236 @@
+"""Line dedup, periodic runs and fill-in-middle against restatements."""
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from brute import sha
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rekko.llm import fill_in_middle, line_runs, periodic_runs
+from rekko.llm.cover_lce import COVER, MODULUS, CoverLce
+from rekko.llm.queries import QUERIES
+from rekko.llm.wavelet import WaveletMatrix
+
+SF001 = "/root/testdata/sf0.001"
+LAST = 2 ** 63 - 1
+
+
+# ------------------------------------------------------------------ line dedup
+
+def line_key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+
+def dropped_lines(rows, min_chars=10):
+    """(id, n_lines, n_dropped, kept) of each row."""
+    rows = [(i, LAST if i is None else i, (t or "").split("\n")) for i, t in rows]
+    found = {}
+    for _, k, lines in rows:
+        for line in lines:
+            if len(key := line_key(line)) >= min_chars:
+                found.setdefault(key, set()).add(k)
+    out = []
+    for i, k, lines in rows:
+        kept = [x for x in lines if line_key(x) not in found or k == min(found[line_key(x)])]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+LINES = ["The same old line here", "  the SAME old line here\t", "short", "", "   ", "é" * 9, "é" * 10,
+         "one more common line", "unique line number"]
+
+
+@pytest.fixture(scope="module")
+def line_rows(odd_rows):
+    rng = random.Random(5)
+    rows = [(i, "\n".join(rng.choice(LINES) + (str(i) if rng.random() < 0.2 else "") for _ in range(rng.randrange(9))))
+            for i in range(60)]
+    rows += [(3, "again\nThe same old line here"), (None, "one more common line\nonly without an id"),
+             (None, "only without an id\nx"), (-5, "one more common line\n\n"), (900, "\n".join(LINES * 400))]
+    rows += [(1000 + i, "a line that stands in every other row") for i in range(60)]
+    return rows + odd_rows
+
+
+@pytest.mark.parametrize("batches,fanout,heavy", [(1, 4, 2000), (8, 4, 2000), (7, 2, 5), (12, 3, 1)])
+def test_lines_match_restatement(make_docs, line_rows, batches, fanout, heavy):
+    got = line_runs.dedup_lines(make_docs(line_rows), batches=batches, fanout=fanout, heavy=heavy)
+    assert got.columns == ["doc_id", "n_lines", "n_dropped", "kept"]
+    assert sorted(map(tuple, got.collect()), key=repr) == dropped_lines(line_rows)
+
+
+def test_lines_of_an_empty_table(make_docs):
+    assert line_runs.dedup_lines(make_docs([])).count() == 0
+    got = line_runs.dedup_lines(make_docs([(1, None), (2, "")])).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 0, ""), (2, 1, 0, "")]
+
+
+def test_runs_are_compacted_without_a_shuffle(spark, make_docs):
+    rows = line_runs.keyed(make_docs([(i, f"a common first line\nline of document {i}") for i in range(40)]),
+                           "doc_id", "text")
+    lines = line_runs.numbered_lines(rows, 10, [])
+    runs = line_runs.LineRuns(4, fanout=3)
+    for i in range(7):
+        runs.add(lines.filter(f"k % 7 = {i}"))
+    assert [len(level) for level in runs.levels] == [1, 2]
+    keys = [tuple(r) for run in runs.runs() for r in run.select("h", "g").collect()]
+    assert len(keys) == len(set(keys)) == 41
+    plan = line_runs.without(*runs.levels[1])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_runs")]
+
+
+# --------------------------------------------------------------- periodic runs
+
+def runs_of(words, min_words=24, repeats=3):
+    """(start, length, period) of every run, by definition."""
+    n, out = len(words), []
+    ids = np.unique(np.array(words, dtype=object), return_inverse=True)[1] if n else np.zeros(0, dtype=int)
+    for q in range(1, n // repeats + 1):
+        equal = np.concatenate(([False], ids[:-q] == ids[q:], [False])).astype(np.int8)
+        edges = np.flatnonzero(np.diff(equal)).reshape(-1, 2)
+        for i, j in edges[edges[:, 1] - edges[:, 0] >= max(min_words, repeats * q) - q].tolist():
+            run = words[i:j + q]
+            if not any(run[p:] == run[:-p] for p in range(1, q)):
+                out.append((i, len(run), q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for a, n, q in runs for i in range(a + q, a + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+words_with_repeats = st.lists(st.tuples(st.lists(st.sampled_from("abc"), min_size=1, max_size=12),
+                                        st.integers(1, 30)), max_size=6).map(
+    lambda parts: [w.encode() for part, n in parts for w in part * n])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(words_with_repeats, min_size=1, max_size=5),
+       st.sampled_from([(24, 3), (4, 2), (10, 4), (1, 2)]))
+def test_runs_match_definition(docs, sizes):
+    assert periodic_runs.find_runs(docs, *sizes) == [runs_of(d, *sizes) for d in docs]
+
+
+def test_runs_of_long_and_uniform_documents():
+    rng = random.Random(3)
+    same = [b"w"] * 30_000
+    block = [b"%d" % rng.randrange(500) for _ in range(700)]
+    assert periodic_runs.find_runs([same, block * 9 + block[:5], [], block]) == [
+        [(0, 30_000, 1)], [(0, 6305, 700)], [], runs_of(block)]
+
+
+def test_extensions():
+    rng = np.random.default_rng(1)
+    assert {(a - b) % MODULUS for a in COVER for b in COVER} == set(range(MODULUS))
+    words = np.concatenate((rng.integers(0, 2, 900), np.tile(rng.integers(0, 9, 40), 30), [0] * 300, [10]))
+    lce = CoverLce(words, np.zeros(len(words), dtype=np.int64))
+    i, j = rng.integers(0, len(words) - 1, (2, 4000))
+    i, j = i[i != j], j[i != j]
+    for a, b, got in zip(i, j, lce.extend(i, j), strict=True):
+        n = 0
+        while max(a, b) + n < len(words) and words[a + n] == words[b + n]:
+            n += 1
+        assert got == n
+
+
+def test_collapse_runs_on_odd_rows(make_docs, odd_rows):
+    rows = odd_rows + [(400, "go " * 50), (401, "a b c\n" * 9 + "tail"), (402, "p q " * 12 + "q r s " * 9)]
+    got = periodic_runs.collapse_runs(make_docs(rows)).collect()
+    want = []
+    for i, t in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        runs = runs_of(words)
+        want.append((i, runs, collapsed(words, runs)))
+    assert sorted(((r.doc_id, [tuple(x) for x in r.runs], r.collapsed) for r in got), key=repr) == sorted(want, key=repr)
+    assert periodic_runs.collapse_runs(make_docs([])).count() == 0
+
+
+def planted(doc_id, words):
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+
+
+def test_op12_query(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()
+    want = []
+    for i, t in docs:
+        words = planted(i, re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        runs = runs_of(words)
+        best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else (None,) * 3
+        want.append((i, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+                     sha("".join(f"{a},{n},{q}\n" for a, n, q in runs)), sha(collapsed(words, runs))))
+    got = QUERIES["op12_periodic_runs"](spark, SF001)
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                           "collapsed_sha256"]
+    assert dict(got.dtypes)["exponent_milli"] == dict(got.dtypes)["start"] == "bigint"
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+# -------------------------------------------------------------- fill in middle
+
+def units(text, unit):
+    if unit == "line":
+        return re.findall(r"[^\n]*\n|[^\n]+", text)
+    blank = r"[\x20\x09-\x0D]"
+    ends = {"word": rf"(?<![\x20\x09-\x0D])(?={blank}|\Z)", "sentence": rf"(?<=\n)|(?<=[.!?])(?={blank}|\Z)"}[unit]
+    return [p for p in re.split(ends, text) if p]
+
+
+def middle(doc_id, text, unit="line", seed=7, rate=100, spm=50):
+    u = units(text, unit)
+    x = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(x[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    a, b = sorted((h[0] % (len(u) + 1), h[1] % (len(u) + 1)))
+    p, m, s = "".join(u[:a]), "".join(u[a:b]), "".join(u[b:])
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= rate:
+        return doc_id, len(u), "plain", None, None, text, text
+    form = "spm" if h[3] % 100 < spm else "psm"
+    out = f"<P>{p}<S>{s}<M>{m}" if form == "psm" else f"<S>{s}<P>{p}<M>{m}"
+    return doc_id, len(u), form, len(p), len(m), out, text
+
+
+@pytest.mark.parametrize("unit,rate,spm", [("line", 100, 50), ("word", 60, 0), ("sentence", 100, 100)])
+def test_middle_matches_restatement(make_docs, odd_rows, unit, rate, spm):
+    rows = odd_rows + [(500 + i, t) for i, t in enumerate(
+        ["\n", "\n\n", "a\nb", "a\nb\n", "<P>x\ny", "x<M", "<", "日本\n語😀\n😀", "a. b! c\n\nd?", " lead\n trail \n "])]
+    got = fill_in_middle.fill_in_middle(make_docs(rows), unit, rate=rate, spm_rate=spm).collect()
+    want = [middle(i, t or "", unit, rate=rate, spm=spm) for i, t in rows]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_middle_of_an_empty_table_and_unknown_units(make_docs):
+    assert fill_in_middle.fill_in_middle(make_docs([])).count() == 0
+    with pytest.raises(ValueError, match="unit"):
+        fill_in_middle.fill_in_middle(make_docs([]), "page")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a<>PSM\n"), st.integers(0, 40), st.integers(0, 40), st.sampled_from(["psm", "spm"]))
+def test_restore_is_exact(text, a, b, form):
+    if not re.search("<[PSM]>", text):
+        a, b = sorted((min(a, len(text)), min(b, len(text))))
+        assert fill_in_middle.restore(fill_in_middle.arranged(text, form, a, b), form) == text
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 7), max_size=300))
+def test_wavelet_ranks(symbols):
+    m = WaveletMatrix(np.array(symbols, dtype=np.uint8), 3)
+    at = np.arange(len(symbols) + 1)
+    for s in range(8):
+        assert m.rank(s, at).tolist() == [symbols[:i].count(s) for i in at]
+    total = sum(s in (2, 5) for s in symbols)
+    want = [i for i in at if sum(s in (2, 5) for s in symbols[:i]) >= total][:1]
+    assert m.select_any((2, 5), np.array([total]), np.array([0]), np.array([len(symbols)])).tolist() == want
