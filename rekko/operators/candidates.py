@@ -7,12 +7,15 @@ than ``max_pool`` items, so the pool may overshoot ``max_pool`` by up to
 ``per_item_k - 1``.
 
 Set form of that loop: let first_pos(c) be the earliest seed that yields
-candidate c.  Seed p is used iff #{c : first_pos(c) < p} < max_pool, i.e.
-iff p <= the max_pool-th smallest first_pos of the user (all seeds are used
-when the user has fewer than max_pool candidates).  That order statistic is
-found from the user's ``max_pool`` smallest distinct first positions (a
-per-user top-k that Spark limits before the shuffle) and a running count
-over them, so a user with a huge history never lands whole in one task.
+candidate c.  Seed p is used iff #{c : first_pos(c) < p} < max_pool, so c is
+kept iff fewer than max_pool candidates have an earlier first_pos: iff
+``rank() over (user, first_pos) <= max_pool``.  Spark limits such a rank before
+the shuffle (WindowGroupLimit), so a task receives at most about max_pool rows
+of a user from each map task, however long the history is.
+
+The plan is one chain: the seeds meet the similar items once, an aggregate on (user,
+item) finds the first positions, the anti join with the ratings shares its partitions,
+and one window on the user applies the cap.
 
 Users without ratings get the ``max_pool`` items with the highest mean
 rating (no minimum support).
@@ -28,52 +31,23 @@ from rekko.operators.stats import dedup_last, top_by_mean
 from rekko.schema import RATINGS, RatingSchema
 
 
-def _fresh(seeds: DataFrame, similar: DataFrame, rated: DataFrame, s: RatingSchema) -> DataFrame:
-    """``(user, item, first_pos)``: unrated similar items of the seeds, with their first seed."""
-    return (seeds.join(similar, "seed").select(s.user, s.item, "seed_pos")
-            .groupBy(s.user, s.item).agg(F.min("seed_pos").alias("first_pos"))
-            .join(rated, [s.user, s.item], "left_anti"))
+def similar_lists(topk: DataFrame, s: RatingSchema, per_item_k: int) -> DataFrame:
+    """``(seed, similar)``: each item's first ``per_item_k`` similar items as one array."""
+    return (topk.filter(F.col("rank") <= per_item_k).groupBy(F.col(s.item).alias("seed"))
+            .agg(F.collect_list("other_id").alias("similar")))
 
 
 def warm_candidates(train: DataFrame, topk: DataFrame, s: RatingSchema = RATINGS,
                     per_item_k: int = 20, max_pool: int = 300) -> DataFrame:
-    """``(user, item, first_pos)`` for users with ratings.
-
-    Seeds go in two waves, so the rows follow the pool and not the history: the
-    first ``2 * max_pool / per_item_k`` seeds of every user, then the others of
-    those users whose pool is still short of ``max_pool``.
-    """
-    seeds = dedup_last(train, s).select(
-        s.user, F.col(s.item).alias("seed"), F.col("first_ord").alias("seed_pos"))
-    similar = (topk.filter(F.col("rank") <= per_item_k)
-               .select(F.col(s.item).alias("seed"), F.col("other_id").alias(s.item)))
-    rated = seeds.select(s.user, F.col("seed").alias(s.item))
-    wave = max(1, -(-2 * max_pool // per_item_k))
-    in_order = Window.partitionBy(s.user).orderBy("seed_pos")
-    head = (seeds.withColumn("rn", F.row_number().over(in_order)).filter(F.col("rn") <= wave))
-    first = _fresh(head.drop("rn"), similar, rated, s)
-    pool = first.groupBy(s.user).agg(F.count(F.lit(1)).alias("n_first"))
-    more = (head.filter(F.col("rn") == wave).select(s.user, F.col("seed_pos").alias("wave_end"))
-            .join(pool, s.user, "left").filter(F.coalesce("n_first", F.lit(0)) < max_pool)
-            .select(s.user, "wave_end"))
-    rest = seeds.join(more, s.user).filter(F.col("seed_pos") > F.col("wave_end")).drop("wave_end")
-    # an item that both waves bring belongs to the first
-    first = (first.unionByName(_fresh(rest, similar, rated, s))
-             .groupBy(s.user, s.item).agg(F.min("first_pos").alias("first_pos")))
-    # The max_pool-th smallest first_pos (with multiplicity) lies among the
-    # max_pool smallest *distinct* positions, so the running count only needs
-    # those: a per-user top-k (limited before the shuffle), then a running
-    # sum over at most max_pool rows per user.
-    per_pos = first.groupBy(s.user, "first_pos").agg(F.count(F.lit(1)).alias("n_new"))
-    by_pos = Window.partitionBy(s.user).orderBy("first_pos")
-    heads = (per_pos.withColumn("rn", F.row_number().over(by_pos))
-             .filter(F.col("rn") <= max_pool)
-             .withColumn("n_upto", F.sum("n_new").over(
-                 by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    cut = (heads.filter(F.col("n_upto") >= max_pool)
-           .groupBy(s.user).agg(F.min("first_pos").alias("last_pos")))
-    return (first.join(cut, s.user, "left")
-            .filter(F.col("last_pos").isNull() | (F.col("first_pos") <= F.col("last_pos")))
+    """``(user, item, first_pos)`` for users with ratings."""
+    rated = dedup_last(train, s).select(s.user, s.item, "first_ord")
+    # a seed carries its similar items as one array; they become rows behind the join
+    met = rated.withColumnRenamed(s.item, "seed").join(similar_lists(topk, s, per_item_k), "seed")
+    found = (met.select(s.user, F.explode("similar").alias(s.item), "first_ord")
+             .groupBy(s.user, s.item).agg(F.min("first_ord").alias("first_pos")))
+    fresh = found.join(rated.select(s.user, s.item), [s.user, s.item], "left_anti")
+    place = F.rank().over(Window.partitionBy(s.user).orderBy("first_pos"))
+    return (fresh.withColumn("place", place).filter(F.col("place") <= max_pool)
             .select(s.user, s.item, "first_pos"))
 
 

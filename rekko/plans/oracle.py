@@ -67,11 +67,12 @@ tk AS (
 
 def candidates_sql(max_pool: int, item: str = "l_suppkey", min_co: int = 20, cold: bool = True) -> str:
     sims = SIM_CTE.replace("n >= 20", f"n >= {min_co}")
-    # the top-k table is read several times, so it is computed once
+    # the top-k table is read several times, so it is computed once.  The rows are
+    # ordered because DuckDB does not end when a LIMIT is put on top of these tables unordered
     topk = TOPK_CTE.replace("tk AS (", "tk AS MATERIALIZED (")
     with_cold = """
 SELECT * FROM warm WHERE user_id IN (SELECT c_custkey FROM customer)
-UNION ALL SELECT * FROM cold""" if cold else "SELECT user_id, business_id FROM warm"
+UNION ALL SELECT * FROM cold ORDER BY ALL""" if cold else "SELECT user_id, business_id FROM warm ORDER BY ALL"
     return f"""WITH {ratings_cte(item=item)}, {DEDUP}, {sums_cte(min_co)}, {sims}, {topk},
 seeds AS MATERIALIZED (
   SELECT user_id, business_id AS seed, min(pos) AS seed_pos FROM (
