@@ -60,7 +60,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sentence_spans.dedup_sentences(table(spark, sf_dir, "documents"), span=3)
+    found = sentence_spans.dedup_sentences(table(spark, sf_dir, "documents"), span=2, min_words=12)
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -102,17 +102,22 @@ ORACLE = {
                 SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n][.!?\n \t]*|[^.!?\n]+') AS s
                 FROM documents)
         ), f AS (
-            SELECT doc_id, i, trim(piece, E' \t\n') AS clean,
-                row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, count(*) OVER (PARTITION BY doc_id) AS total
-            FROM p WHERE trim(piece, E' \t\n') <> ''
+            SELECT doc_id, i, clean, row_number() OVER w AS n, count(*) OVER (PARTITION BY doc_id) AS total,
+                sum(words) OVER w AS upto, words
+            FROM (SELECT doc_id, i, trim(piece, E' \t\n') AS clean,
+                    len(regexp_extract_all(piece, '[^ \t\n]+')) AS words FROM p)
+            WHERE clean <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+        ), e AS (
+            SELECT a.doc_id, a.n, min(b.n) AS last FROM f a JOIN f b
+                ON a.doc_id = b.doc_id AND b.n BETWEEN a.n + least(a.total, 2) - 1 AND a.n + 11
+            WHERE b.upto - a.upto + a.words >= 12 GROUP BY 1, 2
         ), r AS (
-            SELECT doc_id, n, total, concat_ws(chr(10), clean, lead(clean, 1) OVER w, lead(clean, 2) OVER w) AS run
-            FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+            SELECT e.doc_id, e.n, e.last, string_agg(f.clean, chr(10) ORDER BY f.n) AS run
+            FROM e JOIN f ON e.doc_id = f.doc_id AND f.n BETWEEN e.n AND e.last GROUP BY 1, 2, 3
         ), l AS (
-            SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place
-            FROM r WHERE n <= greatest(1, total - 2)
+            SELECT doc_id, n, last, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place FROM r
         ), g AS (
-            SELECT DISTINCT f.doc_id, f.i FROM f JOIN l ON f.doc_id = l.doc_id AND f.n BETWEEN l.n AND l.n + 2
+            SELECT DISTINCT f.doc_id, f.i FROM f JOIN l ON f.doc_id = l.doc_id AND f.n BETWEEN l.n AND l.last
             WHERE l.place > 1
         ), k AS (
             SELECT p.doc_id, coalesce(string_agg(piece, '' ORDER BY p.i) FILTER (WHERE g.i IS NULL), '') AS kept

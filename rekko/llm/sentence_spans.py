@@ -1,10 +1,12 @@
 """Substring dedup over sliding runs of sentences.
 
-A text is cut into sentences; every run of ``span`` consecutive sentences
-(without the blanks behind them) is hashed to 128 bits.  Over the whole table,
+A text is cut into sentences.  At every sentence begins a run: ``span`` consecutive
+sentences, and more until it holds ``min_words`` words; its sentences (without the blanks
+behind them) are hashed to 128 bits.  Over the whole table,
 the first place of a run is the one with the smallest document id and position;
 every sentence that lies in a run at a later place is removed, whichever other
-runs it lies in.  A text with fewer sentences has one run, all of it.
+runs it lies in.  Near the end of a text, where the words no longer suffice, no
+run begins.  A text with fewer sentences than ``span`` has one run, all of it, if it has the words.
 
 A task keeps one row for each run of a batch of documents, its first place there.
 The later ones are repeats whatever the other tasks hold and travel apart from it,
@@ -32,6 +34,7 @@ from rekko.llm.common import keyed, slices
 # A sentence with the marks and blanks behind it (the same pattern is in the SQL statement).
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n][.!?\n \t]*|[^.!?\n]+")
 BLANK = " \t\n"
+SPACES = str.maketrans("\t\n", "  ")
 LATER = 256     # places in one row of known repeats
 
 
@@ -41,18 +44,27 @@ def sentences(text: str) -> tuple[list[str], list[int]]:
     return pieces, [i for i, p in enumerate(pieces) if p.strip(BLANK)]
 
 
-def runs(text: str, span: int) -> list[bytes]:
-    """A 128-bit hash for each run, in order."""
+def runs(text: str, span: int, min_words: int) -> list[tuple[int, int, bytes]]:
+    """First sentence, the one behind the last, and a 128-bit hash for each run, in order."""
     from xxhash import xxh3_128_digest
 
     pieces, full = sentences(text)
     clean = [pieces[i].strip(BLANK) for i in full]
-    if not clean:
-        return []
-    return [xxh3_128_digest("\n".join(clean[i:i + span])) for i in range(max(1, len(clean) - span + 1))]
-
-
-def places(docs: DataFrame, span: int) -> DataFrame:
+    words = [sum(map(bool, c.translate(SPACES).split(" "))) for c in clean]
+    out: list[tuple[int, int, bytes]] = []
+    end = held = 0
+    for start in range(len(clean)):
+        while end < len(clean) and (held < min_words or end - start < span):
+            held += words[end]
+            end += 1
+        enough = held >= min_words and (end - start >= span or start == 0)
+        if enough:
+            out.append((start, end, xxh3_128_digest("\n".join(clean[start:end]))))
+        held -= words[start]
+    return out
+
+
+def places(docs: DataFrame, span: int, min_words: int) -> DataFrame:
     """One row for each run of a batch: hash (``h``, ``g``) and first place (``k``, ``t``, ``pos``);
     and rows of up to ``LATER`` further places, three little-endian longs each in one binary."""
     schema = "h long, g long, k long, t long, pos long, later binary"
@@ -60,7 +72,7 @@ def places(docs: DataFrame, span: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.select(["k", "text", "t"]), 64_000_000):
+            for part in slices(batch.select(["k", "text", "t"]), 32_000_000):
                 keys = sorted(zip(part.column(0).to_pylist(), part.column(2).to_pylist(),
                                   range(part.num_rows), strict=True))
                 first: dict[bytes, tuple[int, int, int]] = {}
@@ -70,7 +82,7 @@ def places(docs: DataFrame, span: int) -> DataFrame:
                     if (k, t) == before:
                         continue
                     before = (k, t)
-                    for pos, h in enumerate(runs(part.column(1)[i].as_py(), span)):
+                    for pos, _, h in runs(part.column(1)[i].as_py(), span, min_words):
                         if h in first:
                             later.setdefault(h, []).append((k, t, pos))
                         else:
@@ -114,14 +126,15 @@ def repeats(found: DataFrame) -> DataFrame:
             .groupBy("k", "t").agg(F.collect_list("pos").alias("starts")))
 
 
-def remove_spans(text: str, starts: list[int], span: int) -> tuple[str, int, int]:
+def remove_spans(text: str, starts: list[int], span: int, min_words: int) -> tuple[str, int, int]:
     """Text without the sentences of the runs at ``starts``; sentences, and removed ones."""
     pieces, full = sentences(text)
-    gone = {i for s in starts for i in full[s:s + span]}
+    ends = {a: b for a, b, _ in runs(text, span, min_words)} if starts else {}
+    gone = {i for s in starts for i in full[s:ends[s]]}
     return "".join(p for i, p in enumerate(pieces) if i not in gone), len(full), len(gone)
 
 
-def dedup_sentences(docs: DataFrame, span: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_sentences(docs: DataFrame, span: int = 2, min_words: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_sentences``, ``n_removed`` and ``kept``, the text that is left."""
     rows = keyed(docs, id_col, text_col)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType),
@@ -131,12 +144,12 @@ def dedup_sentences(docs: DataFrame, span: int = 3, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 8_000_000):
-                out = [remove_spans(t, s or [], span) for t, s in
+                out = [remove_spans(t, s or [], span, min_words) for t, s in
                        zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x[1] for x in out], pa.int64()),
                      pa.array([x[2] for x in out], pa.int64()), pa.array([x[0] for x in out], pa.string())],
                     names=schema.names)
 
-    return (rows.join(repeats(places(rows, span)), ["k", "t"], "left")
+    return (rows.join(repeats(places(rows, span, min_words)), ["k", "t"], "left")
             .select(F.col("row").getField(id_col).alias(id_col), "text", "starts").mapInArrow(run, schema))

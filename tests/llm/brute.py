@@ -88,17 +88,24 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
-def span_dedup(rows: list[tuple[int, str]], span: int = 3) -> dict[int, tuple[int, int, str]]:
+def span_dedup(rows: list[tuple[int, str]], span: int = 2, min_words: int = 12) -> dict[int, tuple[int, int, str]]:
     """(n_sentences, n_removed, kept) by id, for rows with distinct ids."""
     pieces = {i: re.findall(r"[^.!?\n]*[.!?\n][.!?\n \t]*|[^.!?\n]+", t) for i, t in rows}
     full = {i: [j for j, x in enumerate(p) if x.strip(" \t\n")] for i, p in pieces.items()}
     seen, gone = set(), {i: set() for i in pieces}
+
+    def words(run):
+        return sum(len(re.findall(r"[^ \t\n]+", x)) for x in run)
+
     for i in sorted(pieces):
         f = full[i]
-        for s in range(max(1, len(f) - span + 1) if f else 0):
-            run = tuple(pieces[i][j].strip(" \t\n") for j in f[s:s + span])
-            if run in seen:
-                gone[i].update(f[s:s + span])
-            seen.add(run)
+        for s in range(len(f)):
+            for n in range(min(span, len(f)), len(f) - s + 1):
+                run = tuple(pieces[i][j].strip(" \t\n") for j in f[s:s + n])
+                if words(run) >= min_words:
+                    if run in seen:
+                        gone[i].update(f[s:s + n])
+                    seen.add(run)
+                    break
     return {i: (len(full[i]), len(gone[i]), "".join(x for j, x in enumerate(pieces[i]) if j not in gone[i]))
             for i in pieces}

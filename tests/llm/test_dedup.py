@@ -171,12 +171,16 @@ def test_deep_shallow_sort(items):
                 assert common[at] == min(lcp, sizes[a], sizes[b])
 
 
-def test_sentence_spans(make_docs, odd_rows):
+@pytest.mark.parametrize("span,min_words", [(2, 12), (3, 0), (1, 5), (2, 40)])
+def test_sentence_spans(make_docs, odd_rows, span, min_words):
     rows = [(i, t or "") for i, t in odd_rows if i is not None and i != 106]
+    rows += [(i, "THE!! Oh.\nSo it is. " * (i % 3) + "A few\twords here. And then some more of them, all the same. End.")
+             for i in range(500, 506)] + [(510, "one sentence of words that has more than twelve words in it all"),
+                                          (511, "one sentence of words that has more than twelve words in it all")]
     rows = list(dict(rows).items())
     got = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["kept"])
-           for r in sentence_spans.dedup_sentences(make_docs(rows)).collect()}
-    assert got == span_dedup(rows)
+           for r in sentence_spans.dedup_sentences(make_docs(rows), span, min_words).collect()}
+    assert got == span_dedup(rows, span, min_words)
 
 
 def test_sentence_spans_odd_rows(make_docs, odd_rows):
