@@ -44,7 +44,8 @@ BLOCK = 1 << 19                 # bytes hashed at once
 PLACE = 24                      # bits of a position within a block
 HOT_SHARE = 1 / 20_000          # of all segments; an anchor with more is replaced by its windows
 HOT_LEAST = 1000
-BUCKET_SEGMENTS, BUCKET_TEXTS = 500_000, 50_000
+BUCKET_SEGMENTS, BUCKET_TEXTS = 200_000, 20_000
+SLICE = 8_000_000               # bytes of text a task works on at a time
 COVERED_SPANS = 50_000          # spans in one row of those covered within a batch
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -231,6 +232,15 @@ def within_batch(found: Segments, k: np.ndarray) -> tuple[Segments, Segments]:
     return found.take(~covered), found.take(covered)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``SLICE`` bytes of text; what Arrow keeps of the one before goes back first."""
+    for batch in batches:
+        names = batch.schema.names
+        for part in slices(batch.select(["k", "text", *(c for c in names if c not in ("k", "text"))]), SLICE):
+            yield part
+            pa.default_memory_pool().release_unused()
+
+
 def hot_anchors(rows: DataFrame, length: int) -> tuple[np.ndarray, int]:
     """Anchors with a large share of all segments, and the number of segments.
 
@@ -238,7 +248,7 @@ def hot_anchors(rows: DataFrame, length: int) -> tuple[np.ndarray, int]:
     sums are cut at half the share, so at most 4 / HOT_SHARE anchors come back.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             k, _, texts = sorted_batch(batch)
             found, _ = within_batch(segments(texts, length, None), k)
             keys, counts = np.unique(found.key, return_counts=True)
@@ -266,34 +276,33 @@ def deal(rows: DataFrame, length: int, hot: np.ndarray, buckets: int) -> DataFra
     """(``bucket``, ``docs``, ``segments``, ``covered``): packed segments of a batch for each bucket;
     and rows of up to ``COVERED_SPANS`` spans covered within the batch, under negative keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole.select(["k", "text", "tag"]), 32_000_000):
-                k, tag, texts = sorted_batch(batch)
-                found, done = within_batch(segments(texts, length, hot), k)
-                home = (mix(found.key ^ ODD) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(home, kind="stable")
-                present = np.unique(home)
-                cuts = [np.searchsorted(home[order], present, side).tolist() for side in ("left", "right")]
-                out = []
-                for b, c, d in zip(present.tolist(), *cuts, strict=True):
-                    mine = found.take(order[c:d])
-                    used, place = np.unique(mine.doc, return_inverse=True)
-                    out.append((b, pack([k[used], narrow(tag[used], 4)]),
-                                pack([narrow(mine.key & KEY, 5), mine.seg, narrow(place.astype(np.uint32), 3),
-                                      mine.start, mine.count, mine.offset]), None))
-                for c in range(0, len(done.key), COVERED_SPANS):
-                    late = done.take(slice(c, c + COVERED_SPANS))
-                    used, place = np.unique(late.doc, return_inverse=True)
-                    # they need no judging: a key of their own spreads them
-                    at = used[:1]
-                    own = mix(mix(late.seg[:1] + tag[at].view(np.uint64)) + k[at].view(np.uint64) + np.uint64(c))
-                    out.append((-1 - int(own[0] >> np.uint64(33)), pack([k[used], narrow(tag[used], 4)]), None,
-                                pack([narrow(place.astype(np.uint32), 3), late.start, late.count])))
-                for at in range(0, len(out), 64):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(c), t) for c, t in zip(zip(*out[at:at + 64], strict=True), (
-                            pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
-                        names=["bucket", "docs", "segments", "covered"])
+        for batch in sliced(batches):
+            k, tag, texts = sorted_batch(batch)
+            found, done = within_batch(segments(texts, length, hot), k)
+            home = (mix(found.key ^ ODD) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            present = np.unique(home)
+            cuts = [np.searchsorted(home[order], present, side).tolist() for side in ("left", "right")]
+            out = []
+            for b, c, d in zip(present.tolist(), *cuts, strict=True):
+                mine = found.take(order[c:d])
+                used, place = np.unique(mine.doc, return_inverse=True)
+                out.append((b, pack([k[used], narrow(tag[used], 4)]),
+                            pack([narrow(mine.key & KEY, 5), mine.seg, narrow(place.astype(np.uint32), 3),
+                                  mine.start, mine.count, mine.offset]), None))
+            for c in range(0, len(done.key), COVERED_SPANS):
+                late = done.take(slice(c, c + COVERED_SPANS))
+                used, place = np.unique(late.doc, return_inverse=True)
+                # they need no judging: a key of their own spreads them
+                at = used[:1]
+                own = mix(mix(late.seg[:1] + tag[at].view(np.uint64)) + k[at].view(np.uint64) + np.uint64(c))
+                out.append((-1 - int(own[0] >> np.uint64(33)), pack([k[used], narrow(tag[used], 4)]), None,
+                            pack([narrow(place.astype(np.uint32), 3), late.start, late.count])))
+            for at in range(0, len(out), 64):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), t) for c, t in zip(zip(*out[at:at + 64], strict=True), (
+                        pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
+                    names=["bucket", "docs", "segments", "covered"])
 
     return rows.select("k", "tag", "text").mapInArrow(
         run, "bucket int, docs binary, segments binary, covered binary")
@@ -326,6 +335,7 @@ def judge(dealt: DataFrame, length: int) -> DataFrame:
             n = len(done[0])
             return spans_and_left([*done, np.zeros(n, np.uint8)], np.zeros(n, np.int64), n)
         key, seg, k, tag, start, count, offset = (np.concatenate(c) for c in zip(*columns, strict=True))
+        del columns, covered
         order = np.lexsort((k, seg, key))
         key, seg, k, tag, start, count, offset = (c[order] for c in (key, seg, k, tag, start, count, offset))
         new_key = np.concatenate(([True], key[1:] != key[:-1]))
@@ -349,10 +359,10 @@ def undecided_texts(rows: DataFrame, undecided: DataFrame, length: int, buckets:
     schema = "bucket int, key long, k long, tag long, start int, count int, offset int, bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             lists = batch.column("asked")
             flat = lists.flatten()
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             start, count = (flat.field(c).to_numpy() for c in ("start", "count"))
             key = flat.field("key").to_numpy()
