@@ -13,6 +13,7 @@ per row; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pandas as pd
 import pyarrow as pa
@@ -122,10 +123,22 @@ def added_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
         if luhn(only_digits(m.group())):
             found.append(("card", *m.span()))
     found += [("phone", *m.span()) for m in LOCAL_PHONE.finditer(text)]
+    # disjoint spans by start: the last one that begins before a span's end is the only one it can touch
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, a, b in sorted(taken, key=lambda x: x[1]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     out: list[tuple[str, int, int]] = []
     for kind, a, b in found:
-        if all(b <= c or a >= d for _, c, d in [*taken, *out]):
+        at = bisect_left(starts, b)
+        if not at or ends[at - 1] <= a:
             out.append((kind, a, b))
+            starts.insert(at, a)
+            ends.insert(at, b)
     return out
 
 

@@ -147,3 +147,29 @@ def test_train_stride_thins_long_texts(monkeypatch):
     for stride in (256, 10 ** 9):
         toxicity.train(texts[:3], texts[3:], 0.5, train_stride=stride)
     assert sizes[1] == sum(len(toxicity.windows(t)) for t in texts[3:7]) > 5 * sizes[0]
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    """100,000 spans of base and added kinds; each added span is compared with its neighbour only."""
+    import time
+
+    text = "call 555 123 4567 or a@b.co GB82 WEST 1234 5698 7654 32; "
+    began = time.time()
+    few = pii.spans_of(text * 3_400)
+    middle = time.time()
+    many = pii.spans_of(text * 34_000)
+    assert len(many) == 10 * len(few) and len(many) > 100_000
+    assert time.time() - middle < 30 * (middle - began) + 1
+
+
+def test_added_spans_touch_no_other():
+    """Against the comparison of every pair."""
+    rng = random.Random(4)
+    parts = ["a@b.co", "+49 30 123 456 78", "GB82 WEST 1234 5698 7654 32", "555 123 4567", "4111-1111-1111-1111",
+             "4111.1111.1111.1111", "1.2.3.4", "phone", "iban", " ", "-", "7"]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        base = pii.base_spans(text)
+        added = pii.added_spans(text, base)
+        for i, (_, a, b) in enumerate(added):
+            assert all(b <= c or a >= d for _, c, d in [*base, *added[:i]])
