@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rekko.llm.common import cut_lineage, keyed, map_texts
+from rekko.llm.common import cut_lineage, keyed, map_texts, slices
 
 # Bit counts of a byte value, one row for each value (rule: numpy's bit order, low bit first).
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -237,11 +237,12 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, list_size: int
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values.view(np.int64))],
-                                             names=["k", "t", "fp"])
+            for part in slices(batch, 4_000_000):
+                values = np.array([fingerprint(t, words) for t in part.column(1).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(values.view(np.int64))],
+                                                 names=["k", "t", "fp"])
 
-    marked = cut_lineage(rows.select("k", "t", "text").mapInArrow(make, "k long, t long, fp long"))
+    marked = cut_lineage(rows.select("k", "text", "t").mapInArrow(make, "k long, t long, fp long"))
     kept = (grouped(marked, F.struct("k", "t"), max_bits, list_size).select("least.k", "least.t").distinct())
     first = Window.partitionBy("k", "t").orderBy("k")       # the join's own order: no shuffle of its own
     return (rows.join(kept, ["k", "t"]).withColumn("n", F.row_number().over(first)).filter("n = 1")
