@@ -3,11 +3,13 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from brute import components, cut, fingerprint
 
 from rekko.llm import pii
-from rekko.llm.queries import ORACLE, QUERIES
+from rekko.llm.queries import BYTES, ORACLE, QUERIES
+from rekko.llm.queries import tokenizer as tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,6 +45,23 @@ def test_stages_against_brute_force(spark, make_docs, odd_rows):
     assert not any(s["base"] for s in pii.spans_of(clean["text"]))
 
 
+def test_the_last_stage_holds_every_id(spark):
+    """A document's ids put together from its sequences are those of the public tokenizer, then 0."""
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = corpus_pipeline.pack_sequences(spark, docs, SF).collect()
+    tokenizer = Tokenizer.from_file(tokenizer_path(BYTES))
+    tokenizer.encode_special_tokens = True
+    pieces = {}
+    for r in found:
+        assert r["length"] == 1 << r["bucket"] and len(r["ids"]) == 4 * r["length"] and r["length"] <= 1024
+        pieces.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], dtype="<u4")))
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        ids = np.concatenate([x for _, x in sorted(pieces[doc_id], key=lambda x: x[0])]).tolist()
+        assert ids == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
 @pytest.mark.parametrize("labels", [
     [(i, 1) for i in range(40)], [(i, 0) for i in range(40)], [(i, int(i < 20)) for i in range(40)], []])
 def test_nothing_learned_drops_nothing(spark, tmp_path, labels):
