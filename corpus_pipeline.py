@@ -40,8 +40,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens, one row for each."""
-    return packing.piece_digests(packing.pack(docs, tokenizer(BYTES), tokenizer(RANKS), max_length=1024, end_id=0))
+    """Sequences of at most 1024 tokens with their ids, one row for each."""
+    return packing.pack(docs, tokenizer(BYTES), tokenizer(RANKS), max_length=1024, end_id=0)
 
 
 def counted(docs: DataFrame) -> DataFrame:
