@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rekko.llm.vectors import grid, meet, own_rows, ranked, same_length, usable
+from rekko.llm.vectors import grid, meet, own_rows, ranked, usable
 
 
 # The eight signs that a packed byte stands for, one column for each byte value.
@@ -104,7 +104,7 @@ def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, bound: float
     the number of error units a candidate's estimate may be off by and still be
     reranked; the larger, the nearer to exact.
     """
-    rows = same_length(usable(vectors, id_col, vector_col, allow_zero=False))
+    rows = usable(vectors, id_col, vector_col, allow_zero=False)
 
     def search(ids, block, query_ids, queries) -> Iterator[tuple]:
         codes = Codes(block, seed)

@@ -86,12 +86,13 @@ QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepiece, op3_suffix_ar
 ORACLE = {
     "op9_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+            FROM (SELECT DISTINCT vec_id, embedding FROM embeddings)
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT a.vec_id AS query_id, b.vec_id,
                 list_sum(list_transform(list_zip(a.w, b.w), lambda p: p[1] * p[2]))::BIGINT AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.w) = len(b.w) WHERE a.vec_id % 50 = 0
         ), r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
         )

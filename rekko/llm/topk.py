@@ -8,8 +8,8 @@ the query's components times the values last read bounds every id not met yet:
 once it is below the k-th score the search stops.
 
 Vectors that are null or hold null or non-finite components take no part, nor
-do rows without an id or of another length than the most common one; zero
-vectors do.  Rows that repeat id and vector count once.  Different vectors under
+do rows without an id; zero vectors do.  Vectors of several lengths are searched
+apart: a query meets the candidates of its own length.  Rows that repeat id and vector count once.  Different vectors under
 one id are all candidates, but not of their own id's queries, which are ranked
 together.  Ties go to the smaller id.  Scores beyond the range of a long are held at its ends.  An empty table gives no rows.
 """
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rekko.llm.vectors import grid, meet, own_rows, ranked, same_length, usable
+from rekko.llm.vectors import grid, meet, own_rows, ranked, usable
 
 LONG = 2 ** 63 - 1
 
@@ -85,7 +85,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, first_depth: in
     Queries are the rows whose id is divisible by ``query_every``; the lists are
     read ``first_depth`` deep, then each time twice as far again.
     """
-    rows = same_length(usable(vectors, id_col, vector_col, allow_zero=True))
+    rows = usable(vectors, id_col, vector_col, allow_zero=True)
 
     def search(ids, block, query_ids, queries) -> Iterator[tuple]:
         both = whole_numbers(np.concatenate((block, queries)))

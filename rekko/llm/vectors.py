@@ -11,22 +11,24 @@ from pyspark.sql import functions as F
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, allow_zero: bool) -> DataFrame:
-    """(``id``, ``v`` as array of double) of the rows with an id and a finite vector.
+    """(``id``, ``v`` as array of double, ``d`` its length) of the rows with an id and a finite vector.
 
-    Rows that repeat id and vector count once; different vectors under one id all stay.
+    Rows that repeat id and vector count once; different vectors under one id all stay.  Vectors of
+    different lengths are all kept; a query meets those of its own length.
     """
     out = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     out = out.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & finite)
     out = out if allow_zero else out.filter(F.exists("v", lambda x: x != 0.0))
-    return out.distinct()
+    return out.distinct().withColumn("d", F.size("v"))
 
 
 def grid(vectors: DataFrame, is_query: Column, block_rows: int, query_rows: int) -> DataFrame:
     """Deal candidates and queries to blocks that meet once each.
 
     A row of the result belongs to a meeting (``c``, ``q``) of one candidate
-    block and one query block; ``side`` is 0 for a candidate, 1 for a query.
+    block and one query block, and there to the vectors of its length (``d``);
+    ``side`` is 0 for a candidate, 1 for a query.
     Blocks are cut by a hash of the row, so no block depends on the data's order;
     the two counts that set their number are the only figures the driver reads.
     """
@@ -36,18 +38,17 @@ def grid(vectors: DataFrame, is_query: Column, block_rows: int, query_rows: int)
     query_block = F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(query_blocks)).cast("int")
     candidates = vectors.select(
         F.lit(0).alias("side"), block.alias("c"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), "id", "v")
+        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), "d", "id", "v")
     queries = vectors.filter(is_query).select(
         F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("c"),
-        query_block.alias("q"), "id", "v")
+        query_block.alias("q"), "d", "id", "v")
     return candidates.union(queries)
 
 
 def meet(dealt: DataFrame, search: Callable, score_type: str) -> DataFrame:
-    """Run ``search(ids, vectors, query_ids, queries)`` in every meeting.
+    """Run ``search(ids, vectors, query_ids, queries)`` on the vectors of each length in every meeting.
 
-    It yields (query_id, ids, scores) for each query.  All vectors must have one
-    length (``same_length``).
+    It yields (query_id, ids, scores) for each query.
     """
     score_arrow = pa.int64() if score_type == "long" else pa.float64()
 
@@ -70,7 +71,7 @@ def meet(dealt: DataFrame, search: Callable, score_type: str) -> DataFrame:
                          joined([x.astype(np.int64) for x in out_id], pa.int64()),
                          joined(out_s, score_arrow)], names=["query_id", "vec_id", "score"])
 
-    return dealt.groupBy("c", "q").applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
+    return dealt.groupBy("c", "q", "d").applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
 
 
 def own_rows(ids: np.ndarray, query_ids: np.ndarray) -> list[slice]:
@@ -79,12 +80,6 @@ def own_rows(ids: np.ndarray, query_ids: np.ndarray) -> list[slice]:
     return [slice(a, b) for a, b in zip(*sides, strict=True)]
 
 
-def same_length(vectors: DataFrame) -> DataFrame:
-    """Only vectors of the most common length (ties: the smaller) can be compared."""
-    row = (vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first())
-    return vectors.filter(F.size("v") == (row["d"] if row else 0))
-
-
 def ranked(found: DataFrame, k: int) -> DataFrame:
     """The ``k`` best of all blocks for each query: largest score, then smaller id."""
     from pyspark.sql import Window

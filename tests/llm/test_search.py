@@ -92,7 +92,8 @@ def test_repeated_rows_count_once(spark):
 
 @pytest.mark.parametrize("block", [20, 8192])
 def test_every_vector_of_an_id_is_a_candidate(spark, tmp_path, block):
-    """Rows that repeat an id with another vector: the statement's result, and brute force."""
+    """Repeated rows, rows that repeat an id with another vector, vectors of another length:
+    the statement's result, and brute force."""
     import duckdb
 
     from rekko.llm.queries import ORACLE
@@ -100,7 +101,7 @@ def test_every_vector_of_an_id_is_a_candidate(spark, tmp_path, block):
     x = vectors(120, 12, 8)
     ids = [i // 3 for i in range(90)] + [0, 20] + list(range(100, 128))
     rows = [(i, v.tolist(), "", "", "") for i, v in zip(ids, x, strict=True)]
-    rows = [r for n, r in enumerate(rows) if r[:2] not in [p[:2] for p in rows[:n]]]
+    rows += rows[::7] + [(200 + 10 * i, v.tolist(), "", "", "") for i, v in enumerate(vectors(30, 5, 9))]
     df = spark.createDataFrame(rows, SCHEMA)
     df.write.parquet(str(tmp_path / "e"))
     con = duckdb.connect()
@@ -109,8 +110,11 @@ def test_every_vector_of_an_id_is_a_candidate(spark, tmp_path, block):
     got = topk.top_k(df, block_rows=block, query_rows=block)
     assert sorted(tuple(r) for r in got.collect()) == want
     near = by_query(ann.nearest(df, k=20, bound=50.0, block_rows=block, query_rows=block))
-    for q in {i for i in ids if i % 20 == 0}:
-        all_ = sorted(((i, float(np.dot(v, w))) for j, v, *_ in rows if j == q for i, w, *_ in rows if i != q),
+    rows = [r for n, r in enumerate(rows) if r[:2] not in [p[:2] for p in rows[:n]]]
+    assert len(near[200]) == 20 and len(near[0]) == 20
+    for q in {i for i, *_ in rows if i % 20 == 0}:
+        all_ = sorted(((i, float(np.dot(v, w))) for j, v, *_ in rows if j == q for i, w, *_ in rows
+                      if i != q and len(v) == len(w)),
                       key=lambda p: (-p[1], p[0]))[:20]
         assert [s for _, s in near[q]] == pytest.approx([s for _, s in all_], abs=1e-12)
 
