@@ -478,7 +478,41 @@ def q_clip(spark, sf_dir):
     return clip(r)
 
 
+# ------------------------------------------------------ files, line by line
+
+def q_ratings_csv(spark, sf_dir):
+    """Rating files with headers of several layouts, trimmed."""
+    from rekko.sources import files, synth
+    lines = synth.rating_lines(_train(spark, sf_dir))
+    return files.parse_ratings(lines, trim=True).select("user_id", "business_id", "stars")
+
+
+def q_ratings_csv_headerless(spark, sf_dir):
+    """A file without a header among files with one; blanks around fields stay."""
+    from rekko.sources import files, synth
+    lines = synth.rating_lines(_train(spark, sf_dir), headers=False)
+    return files.parse_ratings(lines, trim=False, headers="found").select("user_id", "business_id", "stars")
+
+
+def q_truth_csv(spark, sf_dir):
+    """The true rating of each validation pair, the last one in file order."""
+    from rekko.sources import files, synth
+    lines = synth.rating_lines(tables.ratings(spark, sf_dir, split="validation"))
+    return stats.dedup_last(files.parse_ratings(lines)).select("user_id", "business_id", "stars")
+
+
+def q_photo_json(spark, sf_dir):
+    """Photos of each business from JSON lines."""
+    from rekko.sources import files, synth
+    found = files.parse_photos(synth.photo_json(tables.photos(spark, sf_dir)), "bigint")
+    return found.groupBy("business_id").agg(F.count(F.lit(1)).alias("photos"))
+
+
 QUERIES.update({
+    "ratings_csv": q_ratings_csv,
+    "ratings_csv_headerless": q_ratings_csv_headerless,
+    "truth_csv": q_truth_csv,
+    "photo_json": q_photo_json,
     "train_predict": q_train_predict,
     "item_rating_map": q_item_rating_map,
     "cold_start_pool": q_cold_start_pool,

@@ -478,6 +478,21 @@ _BASE = ["user_avg_star", "user_review_cnt", "user_useful", "user_funny", "user_
          *BUSINESS_FEATURE_LIST.split(", ")]
 
 ORACLE.update({
+    "ratings_csv": f"""WITH {ratings_cte()}
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id,
+  CASE WHEN business_id % 13 <> 0 THEN stars END AS stars FROM r""",
+
+    "ratings_csv_headerless": f"""WITH {ratings_cte()}
+SELECT CASE WHEN user_id % 4 = 2 THEN concat(user_id, ' ') ELSE CAST(user_id AS VARCHAR) END AS user_id,
+  CASE WHEN user_id % 4 = 2 THEN concat(' ', business_id) ELSE CAST(business_id AS VARCHAR) END AS business_id,
+  CASE WHEN business_id % 13 <> 0 THEN stars END AS stars FROM r""",
+
+    "truth_csv": f"""WITH {ratings_cte(split='validation')}, {DEDUP}
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id,
+  CASE WHEN business_id % 13 <> 0 THEN stars END AS stars FROM d""",
+
+    "photo_json": """SELECT user_id AS business_id, count(*) AS photos FROM events GROUP BY 1""",
+
     "train_predict": f"""WITH {ratings_cte('v', item='l_partkey', split='validation')}
 SELECT user_id, business_id, true AS scored, true AS within_cap, true AS beats_mean
 FROM v JOIN part ON p_partkey = business_id""",
