@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rekko.operators.candidates import candidates as make_candidates
+from rekko.operators.scoring import observed
 from rekko.operators.stats import dedup_last
 from rekko.schema import RATINGS, RatingSchema
 
@@ -14,18 +15,22 @@ from rekko.schema import RATINGS, RatingSchema
 def recommend(users: DataFrame, train: DataFrame, topk: DataFrame, scorer,
               user_names: DataFrame, places: DataFrame, k: int = 10,
               per_item_k: int = 20, max_pool: int = 300,
-              s: RatingSchema = RATINGS) -> DataFrame:
+              s: RatingSchema = RATINGS, counts: Observation | None = None) -> DataFrame:
     """Top-``k`` items per user by predicted rating, with names and place.
 
     ``places`` is ``(business_id, business_name, city, state)``.  Candidate
     pairs of all users are scored in one pass; failed scores (NULL) are
     dropped (F8); ``row_number() <= k`` per user is limited before the
-    shuffle.  A user without candidates gets no rows.  Not clipped.
+    shuffle.  ``counts`` observes that pass: once the result has been computed it holds the numbers of
+    ``candidates``, ``scored`` and ``rejected`` pairs.  A user without candidates gets no rows.  Not clipped.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     cands = make_candidates(users, train, topk, s, per_item_k, max_pool)
-    scored = scorer.score(cands.select(s.user, s.item), s).filter(F.col("prediction").isNotNull())
+    scored = scorer.score(cands.select(s.user, s.item), s)
+    if counts is not None:
+        scored = observed(scored, counts)
+    scored = scored.filter(F.col("prediction").isNotNull())
     w = Window.partitionBy(s.user).orderBy(F.desc("prediction"), F.asc(s.item))
     top = (scored.withColumn("rank", F.row_number().over(w))
            .filter(F.col("rank") <= k))
@@ -73,18 +78,17 @@ def target_on_reference(requests: DataFrame, train: DataFrame, scorer,
 
 def recommend_from_artifacts(spark, art_dir: str, users: DataFrame, scorer, k: int = 10,
                              s: RatingSchema = RATINGS) -> DataFrame | None:
-    """M14 served from saved artifacts (S8): ratings, top-k table and names.
+    """M14 served from saved artifacts (S8): ratings, top-k table and names, all of one version.
 
-    Returns None when the similarity table was never written, the case in
+    Returns None when the newest version lacks one of them, the case in
     which the original turns the recommendation feature off.
     """
     from rekko.sources import artifacts
-    topk = artifacts.load(spark, art_dir, "item_topk")
-    ratings = artifacts.load(spark, art_dir, "ratings")
-    if topk is None or ratings is None:
+    version = artifacts.open_version(spark, art_dir)
+    tables = {n: version.load(n) for n in ("item_topk", "ratings", "user_dim", "business_dim")} if version else {}
+    if not tables or any(t is None for t in tables.values()):
         return None
-    user_dim = artifacts.load(spark, art_dir, "user_dim")
-    business_dim = artifacts.load(spark, art_dir, "business_dim")
+    topk, ratings, user_dim, business_dim = tables.values()
     user_names = user_dim.select(s.user, F.col("name").alias("user_name"))
     places = business_dim.select(s.item, F.col("name").alias("business_name"), "city", "state")
     return recommend(users, ratings, topk, scorer, user_names, places, k=k, s=s)

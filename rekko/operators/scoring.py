@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rekko.operators import model as gbt
@@ -85,6 +85,14 @@ def display_round(df: DataFrame, cols: tuple[str, ...] = ("predicted_rating", "a
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def observed(scored: DataFrame, counts: Observation) -> DataFrame:
+    """F8: the same rows; the pass that computes them counts ``candidates``, ``scored`` and ``rejected`` rows
+    (with and without a prediction) into ``counts``."""
+    failed = F.col("prediction").isNull()
+    return scored.observe(counts, F.count(F.lit(1)).alias("candidates"), F.count_if(~failed).alias("scored"),
+                          F.count_if(failed).alias("rejected"))
+
+
 def rejected(requests: DataFrame, s: RatingSchema = RATINGS) -> DataFrame:
     """Requests that cannot be scored, with the reason: a missing user or item id."""
     no_user, no_item = F.col(s.user).isNull(), F.col(s.item).isNull()
@@ -103,17 +111,21 @@ def score_pairs_rejects(requests: DataFrame, scorer, s: RatingSchema = RATINGS)
 
 
 def score_pairs(requests: DataFrame, scorer, user_names: DataFrame, business_names: DataFrame,
-                truth: DataFrame | None = None, s: RatingSchema = RATINGS) -> DataFrame:
+                truth: DataFrame | None = None, s: RatingSchema = RATINGS,
+                counts: Observation | None = None) -> DataFrame:
     """``(user_id, user_name, business_id, business_name,
     predicted_rating, actual_rating)`` for every requested pair.
 
     ``truth`` is ``(user, item, stars, ord)``; the actual rating is the last
     one in file order (J12), NULL when absent.  Not clipped (single-pair
     path of the original).  Requests without an id or a prediction are in
-    :func:`score_pairs_rejects`.
+    :func:`score_pairs_rejects`; ``counts`` observes how many had a prediction.
     """
     whole = requests.filter(F.col(s.user).isNotNull() & F.col(s.item).isNotNull())
-    scored = scorer.score(whole.select(s.user, s.item), s).filter(F.col("prediction").isNotNull())
+    scored = scorer.score(whole.select(s.user, s.item), s)
+    if counts is not None:
+        scored = observed(scored, counts)
+    scored = scored.filter(F.col("prediction").isNotNull())
     out = (scored.join(user_names, s.user, "left").join(business_names, s.item, "left"))
     if truth is not None:
         last = truth.groupBy(s.user, s.item).agg(F.max_by(s.stars, s.order).alias("actual_rating"))

@@ -18,13 +18,14 @@ import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rekko.operators import evaluate, reports
 from rekko.operators import model as gbt
 from rekko.operators import similarity as sim
 from rekko.operators.features import FeaturePipeline, with_photos
+from rekko.operators.scoring import observed
 from rekko.operators.stats import counts_with_names, global_mean, item_means, user_means
 from rekko.session import cut_lineage
 from rekko.sinks.writers import write_csv
@@ -108,7 +109,8 @@ def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_mode
 
     # 3) batch predictions, clipped (M8, K1); cut lineage before reuse
     t2 = time.time()
-    pred = cut_lineage(gbt.predict(model, x_val, clip=True))
+    counts = Observation("scores")
+    pred = cut_lineage(observed(gbt.predict(model, x_val, clip=True), counts))
     write_csv(pred.select("user_id", "business_id", "prediction"),
               os.path.join(out_dir, "predictions"), order_by=["ord"])
     names_u = inputs.users.select("user_id", F.col("name").alias("user_name"))
@@ -134,6 +136,7 @@ def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_mode
     # RMSE, the constant-mean RMSE and the high-error count in one pass
     scored = results.filter(F.col("true_rating").isNotNull() & F.col("pred_rating").isNotNull())
     err = F.col("pred_rating") - F.col("true_rating")
+    unread = inputs.train.filter(F.col("stars").isNull()).count()
     m = scored.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.count(F.lit(1)).alias("n"),
                    F.sqrt(F.avg((F.lit(g) - F.col("true_rating")) ** 2)).alias("baseline"),
                    F.count_if(F.abs(err) >= 3.0).alias("n_high")).first()
@@ -142,7 +145,7 @@ def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_mode
     # 5) similarities and artifacts
     t3 = time.time()
     topk_df = cut_lineage(sim.item_topk(inputs.train, topk=topk, min_cousers=min_cousers, kept=kept))
-    artifacts.save(art_dir, {
+    artifacts.save(spark, art_dir, {
         "ratings": inputs.train,
         "item_stats": item_means(inputs.train),
         "user_stats": user_means(inputs.train),
@@ -151,7 +154,7 @@ def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_mode
         "user_dim": inputs.users.select("user_id", "name"),
         "item_topk": topk_df,
         "onehot_levels": levels.to_frame(spark),
-    })
+    }, model)
     phase["similarity"] = time.time() - t3
 
     # 6) most active users / most rated businesses (K6)
@@ -162,7 +165,7 @@ def _run(spark, inputs, out_dir, kept, phase, t0, model_dir, art_dir, train_mode
               order_by=[F.desc("rating_count"), "business_id"])
     return {"rmse": m["rmse"], "n_validation": m["n"], "constant_mean_rmse": baseline,
             "error_distribution": hist, "high_error_cases": n_high,
-            "rounds": model.rounds, "phase_seconds": phase, "runtime": time.time() - t0}
+            "scores": counts.get, "ratings_without_stars": unread, "rounds": model.rounds, "phase_seconds": phase, "runtime": time.time() - t0}
 
 
 def main(argv: list[str]) -> None:

@@ -1,6 +1,6 @@
-"""Collaborative-filtering artifacts in long form (K5 write, S8 read).
+"""Collaborative-filtering artifacts in long form (K4 and K5 write, S8 and S9 read).
 
-Tables under one folder:
+Tables of one version lie in one folder, ``v-<number>-<unique part>``:
 
 * ``ratings``       (user, item, stars, ord)      - lists / maps are views of it
 * ``item_stats``    (item, avg_rating, n_ratings)
@@ -8,14 +8,22 @@ Tables under one folder:
 * ``global_stats``  (avg_rating, n_ratings)
 * ``business_dim``  (business_id, name, city, state)
 * ``user_dim``      (user_id, name)
-* ``item_topk``     (item, other_id, sim, corr, co_users, rank), bucketed by
-  nothing but written sorted by item so readers can prune row groups
+* ``item_topk``     (item, other_id, sim, corr, co_users, rank), sorted by item
+  within files, so readers can prune row groups
 * ``onehot_levels`` (column, level, position, feature)
+* ``model``         the saved rating model
+
+A version is published by one more row in the table ``versions``, after all its tables are
+written: one file appended by one committed job.  Until then readers do not see it, so a
+writer that dies halfway leaves them on the version before.  A reader opens the newest version once
+(:func:`open_version`) and reads everything from there, whatever is published meanwhile.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,25 +34,69 @@ NAMES = ("ratings", "item_stats", "user_stats", "global_stats", "business_dim",
          "user_dim", "item_topk", "onehot_levels")
 
 
-def save(art_dir: str, tables: dict[str, DataFrame]) -> list[str]:
+VERSIONS = "version string, tables array<string>"
+
+
+@dataclass(frozen=True)
+class Version:
+    """One version of the artifacts, open for reading or (before it is published) for writing."""
+
+    spark: SparkSession
+    art_dir: str
+    name: str
+    tables: tuple[str, ...] = ()
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.art_dir, self.name, name)
+
+    def load(self, name: str) -> DataFrame | None:
+        """One table, or None when this version has none of that name (the
+        feature that needs it is then unavailable)."""
+        if name not in NAMES:
+            raise ValueError(f"unknown artifact table: {name}")
+        return self.spark.read.parquet(self.path(name)) if name in self.tables else None
+
+    def load_model(self):
+        """The rating model of this version, or None."""
+        from rekko.operators import model
+        return model.load(self.path("model")) if "model" in self.tables else None
+
+
+def open_version(spark: SparkSession, art_dir: str) -> Version | None:
+    """The newest published version, or None when there is none."""
+    path = os.path.join(art_dir, "versions")
+    if not exists(spark, path):
+        return None
+    newest = spark.read.schema(VERSIONS).parquet(path).orderBy(F.desc("version")).limit(1).collect()
+    return Version(spark, art_dir, newest[0]["version"], tuple(newest[0]["tables"])) if newest else None
+
+
+def save(spark: SparkSession, art_dir: str, tables: dict[str, DataFrame], model=None) -> Version:
+    """Write a new version with these tables (and the model), and publish it when all are there."""
     unknown = set(tables) - set(NAMES)
     if unknown:
         raise ValueError(f"unknown artifact tables: {sorted(unknown)}")
-    written = []
+    before = open_version(spark, art_dir)
+    number = int(before.name.split("-")[1]) + 1 if before else 1
+    new = Version(spark, art_dir, f"v-{number:08d}-{uuid.uuid4().hex}", (*tables, *(["model"] if model else [])))
     for name, df in tables.items():
         if name == "item_topk":
             df = df.sortWithinPartitions(df.columns[0])
-        written.append(write_table(df, os.path.join(art_dir, name)))
-    return written
+        write_table(df, new.path(name))
+    if model is not None:
+        from rekko.operators.model import save as save_model
+        save_model(model, new.path("model"))
+    (spark.createDataFrame([(new.name, list(new.tables))], VERSIONS).coalesce(1)
+     .write.mode("append").parquet(os.path.join(art_dir, "versions")))
+    return new
 
 
 def load(spark: SparkSession, art_dir: str, name: str) -> DataFrame | None:
-    """One artifact table, or None when it was never written (the
-    feature that needs it is then unavailable)."""
+    """One table of the newest version; to read several, open a version and load them from it."""
     if name not in NAMES:
         raise ValueError(f"unknown artifact table: {name}")
-    path = os.path.join(art_dir, name)
-    return spark.read.parquet(path) if exists(spark, path) else None
+    version = open_version(spark, art_dir)
+    return version.load(name) if version else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:

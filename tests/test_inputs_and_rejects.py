@@ -1,6 +1,7 @@
 """Files by header, file order over several files, rejects, level bound, artifact views, order key."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from datapaths import SF001
@@ -62,6 +63,52 @@ def test_scored_and_rejected_rows_add_up(spark):
     assert {r["reason"] for r in rejected(requests).collect()} == {"no user id", "no item id", "no user and item id"}
 
 
+class NoScoreForOdd:
+    """A scorer that fails for odd items."""
+
+    def score(self, pairs, s=None):
+        return pairs.withColumn("prediction", F.when(F.col("business_id") % 2 == 0, F.lit(3.0)))
+
+
+def test_failed_scores_are_counted_in_the_same_pass(spark):
+    from rekko.operators import candidates, recommend
+    train = tables.ratings(spark, SF001, item="part")
+    topk = train.select("business_id").distinct().select(
+        "business_id", F.explode(F.sequence(F.lit(1), F.lit(9))).alias("rank")).withColumn(
+        "other_id", F.pmod(F.col("business_id") * 7 + F.col("rank"), F.lit(200)))
+    users = train.select("user_id").distinct()
+    names = spark.createDataFrame([], "user_id long, user_name string")
+    places = spark.createDataFrame([], "business_id long, business_name string, city string, state string")
+    counts = Observation("scores")
+    top = recommend.recommend(users, train, topk, NoScoreForOdd(), names, places, k=3, counts=counts)
+    assert {r["business_id"] % 2 for r in top.collect()} == {0}
+    pool = candidates.candidates(users, train, topk).collect()
+    odd = sum(r["business_id"] % 2 for r in pool)
+    assert counts.get == {"candidates": len(pool), "scored": len(pool) - odd, "rejected": odd} and odd
+    requests = train.select("user_id", "business_id")
+    reasons = score_pairs_rejects(requests, NoScoreForOdd()).groupBy("reason").count().collect()
+    assert [r["reason"] for r in reasons] == ["no prediction"]
+    counts = Observation("requests")
+    items = spark.createDataFrame([], "business_id long, business_name string")
+    n = len(score_pairs(requests, NoScoreForOdd(), names, items, counts=counts).collect())
+    assert counts.get == {"candidates": requests.count(), "scored": n, "rejected": reasons[0]["count"]}
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("stars,user_id,business_id\n4,u1,b1\n")
+    (folder / "b.csv").write_text("user_id,business_id,stars\nu2,b2,5\n\nuser_id,business_id,stars\nu3,,x\n")
+    (folder / "c.csv").write_text("u4,b4,1\nu5,b5\n")
+    got = files.read_pairs_with_fallback(spark, str(folder)).orderBy("ord").collect()
+    assert [tuple(r)[:3] for r in got] == [("u1", "b1", 4.0), ("u2", "b2", 5.0), ("u3", None, None),
+                                           ("u4", "b4", 1.0), ("u5", "b5", None)]
+    first = files.read_ratings_csv(spark, str(folder)).orderBy("ord").collect()
+    assert [r["user_id"] for r in first] == ["u1", "u2", "u3", "u5"]
+    with pytest.raises(ValueError):
+        files.parse_ratings(spark.createDataFrame([], "value string, file string, ord long"), headers="no")
+
+
 def test_level_bound_holds_in_both_forms(spark):
     from rekko.schema import CATEGORICAL_FEATURES
     df = spark.range(20).select(*[F.col("id").cast("string").alias(c) for c in CATEGORICAL_FEATURES])

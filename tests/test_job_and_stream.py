@@ -42,6 +42,8 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
     m = train_eval.run(spark, inputs, out, model_params={"maxIter": 3, "maxDepth": 3},
                        patience=2, min_cousers=5)
     assert m["n_validation"] > 0 and m["rmse"] > 0
+    assert m["scores"] == {"candidates": m["n_validation"], "scored": m["n_validation"], "rejected": 0}
+    assert m["ratings_without_stars"] == 0
     # nothing stays in executor storage
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
     high = spark.read.option("header", True).csv(os.path.join(out, "high_error_cases"))
@@ -76,11 +78,32 @@ def test_batch_job_on_files(spark, data_folder, tmp_path):
                                     BiasScorer.fit(train)) is None
     model = gbt.load(os.path.join(out, "model"))
     assert model is not None and model.feature_columns
+    assert artifacts.open_version(spark, art).load_model().rounds == model.rounds
     # loaded model scores the same rows
     m2 = train_eval.run(spark, inputs, out, train_model=False, min_cousers=5)
     assert m2["rmse"] == pytest.approx(m["rmse"])
 
 
+def test_a_job_killed_between_two_tables_leaves_the_old_version(spark, tmp_path):
+    art = str(tmp_path / "art")
+    assert artifacts.open_version(spark, art) is None
+    old = {"item_stats": spark.range(3).withColumnRenamed("id", "n"), "user_stats": spark.range(4)}
+    artifacts.save(spark, art, old)
+    reader = artifacts.open_version(spark, art)
+    broken = spark.range(5).selectExpr("CASE WHEN id < 9 THEN raise_error('killed') END AS id")
+    with pytest.raises(Exception, match="killed"):
+        artifacts.save(spark, art, {"item_stats": spark.range(7), "user_stats": broken})
+    assert artifacts.open_version(spark, art) == reader
+    assert artifacts.load(spark, art, "item_stats").count() == 3
+    new = artifacts.save(spark, art, {"item_stats": spark.range(8)})
+    assert new.name > reader.name and artifacts.load(spark, art, "item_stats").count() == 8
+    # a reader stays on the version it opened; a table the new one lacks is not taken from the old one
+    assert reader.load("item_stats").count() == 3 and reader.load("user_stats").count() == 4
+    assert artifacts.load(spark, art, "user_stats") is None and reader.load_model() is None
+    with pytest.raises(ValueError):
+        reader.load("other")
+
+
 def test_streaming_scoring(spark, data_folder, tmp_path):
     train = files.read_ratings_csv(spark, os.path.join(data_folder, "train.csv"))
     val = files.read_ratings_csv(spark, os.path.join(data_folder, "validation.csv"), trim=False)
