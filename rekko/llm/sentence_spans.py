@@ -34,7 +34,6 @@ from rekko.llm.common import keyed, slices
 # A sentence with the marks and blanks behind it (the same pattern is in the SQL statement).
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n][.!?\n \t]*|[^.!?\n]+")
 BLANK = " \t\n"
-SPACES = str.maketrans("\t\n", "  ")
 LATER = 256     # places in one row of known repeats
 
 
@@ -44,26 +43,36 @@ def sentences(text: str) -> tuple[list[str], list[int]]:
     return pieces, [i for i, p in enumerate(pieces) if p.strip(BLANK)]
 
 
-def runs(text: str, span: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """First sentence, the one behind the last, and a 128-bit hash for each run, in order."""
-    from xxhash import xxh3_128_digest
+def word_count(sentence: str) -> int:
+    """Words of a sentence without blanks at its ends."""
+    plain = sentence.replace("\t", " ").replace("\n", " ")
+    return sum(map(bool, plain.split(" "))) if "  " in plain else plain.count(" ") + 1
 
-    pieces, full = sentences(text)
-    clean = [pieces[i].strip(BLANK) for i in full]
-    words = [sum(map(bool, c.translate(SPACES).split(" "))) for c in clean]
-    out: list[tuple[int, int, bytes]] = []
+
+def runs(clean: list[str], span: int, min_words: int) -> list[tuple[int, int]]:
+    """First sentence, and the one behind the last, of each run, in order."""
+    words = [word_count(c) for c in clean]
+    out: list[tuple[int, int]] = []
     end = held = 0
     for start in range(len(clean)):
         while end < len(clean) and (held < min_words or end - start < span):
             held += words[end]
             end += 1
-        enough = held >= min_words and (end - start >= span or start == 0)
-        if enough:
-            out.append((start, end, xxh3_128_digest("\n".join(clean[start:end]))))
+        if held >= min_words and (end - start >= span or start == 0):
+            out.append((start, end))
         held -= words[start]
     return out
 
 
+def hashed_runs(text: str, span: int, min_words: int) -> list[tuple[int, bytes]]:
+    """First sentence and 128-bit hash of each run, in order."""
+    from xxhash import xxh3_128_digest
+
+    pieces, full = sentences(text)
+    clean = [pieces[i].strip(BLANK) for i in full]
+    return [(a, xxh3_128_digest("\n".join(clean[a:b]))) for a, b in runs(clean, span, min_words)]
+
+
 def places(docs: DataFrame, span: int, min_words: int) -> DataFrame:
     """One row for each run of a batch: hash (``h``, ``g``) and first place (``k``, ``t``, ``pos``);
     and rows of up to ``LATER`` further places, three little-endian longs each in one binary."""
@@ -82,7 +91,7 @@ def places(docs: DataFrame, span: int, min_words: int) -> DataFrame:
                     if (k, t) == before:
                         continue
                     before = (k, t)
-                    for pos, _, h in runs(part.column(1)[i].as_py(), span, min_words):
+                    for pos, h in hashed_runs(part.column(1)[i].as_py(), span, min_words):
                         if h in first:
                             later.setdefault(h, []).append((k, t, pos))
                         else:
@@ -129,7 +138,9 @@ def repeats(found: DataFrame) -> DataFrame:
 def remove_spans(text: str, starts: list[int], span: int, min_words: int) -> tuple[str, int, int]:
     """Text without the sentences of the runs at ``starts``; sentences, and removed ones."""
     pieces, full = sentences(text)
-    ends = {a: b for a, b, _ in runs(text, span, min_words)} if starts else {}
+    if not starts:
+        return text, len(full), 0
+    ends = dict(runs([pieces[i].strip(BLANK) for i in full], span, min_words))
     gone = {i for s in starts for i in full[s:ends[s]]}
     return "".join(p for i, p in enumerate(pieces) if i not in gone), len(full), len(gone)
 
