@@ -24,9 +24,15 @@ def recommend(users: DataFrame, train: DataFrame, topk: DataFrame, scorer,
     shuffle.  ``counts`` observes that pass: once the result has been computed it holds the numbers of
     ``candidates``, ``scored`` and ``rejected`` pairs.  A user without candidates gets no rows.  Not clipped.
     """
+    cands = make_candidates(users, train, topk, s, per_item_k, max_pool)
+    return top_scored(cands, scorer, user_names, places, k, s, counts)
+
+
+def top_scored(cands: DataFrame, scorer, user_names: DataFrame, places: DataFrame, k: int = 10,
+               s: RatingSchema = RATINGS, counts: Observation | None = None) -> DataFrame:
+    """The ranking part of :func:`recommend`, on candidate pairs that are given."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    cands = make_candidates(users, train, topk, s, per_item_k, max_pool)
     scored = scorer.score(cands.select(s.user, s.item), s)
     if counts is not None:
         scored = observed(scored, counts)

@@ -368,7 +368,7 @@ def q_sample_items(spark, sf_dir):
 def q_recommend_model(spark, sf_dir):
     """M14 with the boosted-tree scorer, as what SQL can check: for each user the number of
     recommendations, that all are candidates of the user, ranked by falling prediction."""
-    from rekko.operators.recommend import recommend
+    from rekko.operators.recommend import top_scored
     from rekko.operators.scoring import ModelScorer
     train, val = (tables.ratings(spark, sf_dir, split=x).withColumnRenamed("stars", "label")
                   for x in ("train", "validation"))
@@ -377,9 +377,12 @@ def q_recommend_model(spark, sf_dir):
     ratings = _train(spark, sf_dir)
     topk = _topk(spark, sf_dir)
     users = tables.customers(spark, sf_dir)
-    top = recommend(users, ratings, topk, ModelScorer(m, fp), _customer_names(spark, sf_dir),
-                    _places(spark, sf_dir), k=10)
-    pool = cand.candidates(users, ratings, topk).select("user_id", "business_id", F.lit(True).alias("offered"))
+    # the candidates are computed once, for scoring and for the check
+    pool = cand.candidates(users, ratings, topk).select("user_id", "business_id").persist(
+        StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(pool)
+    top = top_scored(pool, ModelScorer(m, fp), _customer_names(spark, sf_dir), _places(spark, sf_dir), k=10)
+    pool = pool.select("*", F.lit(True).alias("offered"))
     rows = F.sort_array(F.collect_list(F.struct("rank", "predicted_rating")))
     return (top.join(pool, ["user_id", "business_id"], "left").groupBy("user_id")
             .agg(F.count_distinct("business_id").alias("n_items"),
