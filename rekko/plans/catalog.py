@@ -423,6 +423,19 @@ def q_feature_table_unknown(spark, sf_dir):
     return feature_table(r, _users(spark, sf_dir), _business(spark, sf_dir), keep=("label",))
 
 
+def _with_hot_item(r):
+    """Two of five ratings are of one item."""
+    return r.withColumn("business_id", F.when(F.col("user_id") % 5 < 2, F.lit(1)).otherwise(F.col("business_id")))
+
+
+def q_feature_table_hot(spark, sf_dir):
+    """An item with 40 % of the pairs, joined with salts."""
+    from rekko.operators.features import feature_table
+    from rekko.operators.hot_join import SHARE
+    r = _with_hot_item(_train(spark, sf_dir)).select("user_id", "business_id", F.col("stars").alias("label"))
+    return feature_table(r, _users(spark, sf_dir), _business(spark, sf_dir), keep=("label",), hot_share=SHARE)
+
+
 def q_part_similarity(spark, sf_dir):
     """on parts most pairs have too few co-raters and some have no variance."""
     sums = sim.co_rating_sums(_train(spark, sf_dir, "part"), min_raters=2, min_pair_count=2)
@@ -522,6 +535,7 @@ QUERIES.update({
     "sample_items": q_sample_items,
     "recommend_model": q_recommend_model,
     "feature_table_unknown": q_feature_table_unknown,
+    "feature_table_hot": q_feature_table_hot,
     "part_similarity": q_part_similarity,
     "part_candidates": q_part_candidates,
     "candidates_cold": q_candidates_cold,

@@ -478,6 +478,11 @@ _BASE = ["user_avg_star", "user_review_cnt", "user_useful", "user_funny", "user_
          *BUSINESS_FEATURE_LIST.split(", ")]
 
 ORACLE.update({
+    "feature_table_hot": f"""WITH {USERS}, {SUPPLIER_BUSINESS}, {features_cte('ft', 'train').replace(
+        "FROM fr_ft r", "FROM (SELECT * REPLACE (CASE WHEN user_id % 5 < 2 THEN 1 ELSE business_id END AS business_id)"
+        " FROM fr_ft) r")}
+SELECT * FROM ft""",
+
     "ratings_csv": f"""WITH {ratings_cte()}
 SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id,
   CASE WHEN business_id % 13 <> 0 THEN stars END AS stars FROM r""",
