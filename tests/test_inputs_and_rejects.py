@@ -135,3 +135,14 @@ def test_reading_json_leaves_the_session_as_it_was(spark):
                                                 '"is_open": 1}',)], "value string"))
     assert spark.conf.get(key, None) == before
     assert df.first()["bus_stars"] == 2.0
+
+
+def test_repeated_keys_and_odd_attributes(spark):
+    from rekko.functions.business import business_frame
+    rows = ['{"business_id": "x", "hours": {"Mon": "9", "Mon": "8", "Tue": "9"}, "attributes": {"HasTV": "a", "HasTV": "b"}}',
+            '{"business_id": "y", "attributes": "text", "hours": null, "stars": 3.5}',
+            '{"business_id": 7, "attributes": [1], "name": "hours"}', 'no json']
+    got = business_frame(spark.createDataFrame([(r,) for r in rows], "value string")).select(
+        "business_id", "operation_days", "wifi", "bus_stars", "name").collect()
+    assert [tuple(r) for r in got] == [("x", 2, "b", None, ""), ("y", 7, None, 3.5, ""), ("7", 7, None, None, "hours"),
+                                       (None, 7, None, None, "")]
