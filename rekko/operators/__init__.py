@@ -2,6 +2,6 @@
 
 stats (counts, means, dedup, top-n), similarity (co-rating sums, top-k),
 candidates (pool per user), features / encoding (feature table, one-hot),
-model (MLlib GBT), scoring (scorers, pair scoring), evaluate, reports,
+model and boosting (boosted trees), scoring (scorers, pair scoring), evaluate, reports,
 recommend.
 """
