@@ -24,6 +24,8 @@ def recommend(users: DataFrame, train: DataFrame, topk: DataFrame, scorer,
     shuffle.  ``counts`` observes that pass: once the result has been computed it holds the numbers of
     ``candidates``, ``scored`` and ``rejected`` pairs.  A user without candidates gets no rows.  Not clipped.
     """
+    if k < 1:
+        raise ValueError("k must be >= 1")
     cands = make_candidates(users, train, topk, s, per_item_k, max_pool)
     return top_scored(cands, scorer, user_names, places, k, s, counts)
 

@@ -22,7 +22,7 @@ def test_missing_model_and_artifacts(spark, tmp_path):
     with pytest.raises(ValueError):
         artifacts.load(spark, str(tmp_path), "not_an_artifact")
     with pytest.raises(ValueError):
-        artifacts.save(str(tmp_path), {"bogus": spark.range(1)})
+        artifacts.save(spark, str(tmp_path), {"bogus": spark.range(1)})
 
 
 def test_guards(spark):
