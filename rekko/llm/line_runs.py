@@ -37,8 +37,14 @@ BLANKS = " \t\n\x0b\x0c\r"
 HASH = ["h", "g"]
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(BLANKS)), string.ascii_uppercase, string.ascii_lowercase)
+def stripped(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
+
+
+def lower_ascii(key: Column) -> Column:
+    """A-Z in lower case; ``lower`` does that, and faster, where all characters are ASCII."""
+    return F.when(F.octet_length(key) == F.length(key), F.lower(key)).otherwise(
+        F.translate(key, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def split_lines(text: Column) -> Column:
@@ -113,10 +119,11 @@ def numbered_lines(rows: DataFrame, min_chars: int, bounds: list[int]) -> DataFr
     """(``k``, ``t``, ``pos``, hash, ``batch``) for every line whose key is long enough."""
     batch = sum((F.when(F.col("k") > b, 1).otherwise(0) for b in bounds), F.lit(0))
     lines = rows.select("k", "t", batch.alias("batch"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
-    lines = lines.select("k", "t", "batch", "pos", line_key(F.col("line")).alias("key")).filter(
+    # the length is that of the key, and the filter below the hashes does not compute it twice
+    lines = lines.select("k", "t", "batch", "pos", stripped(F.col("line")).alias("key")).filter(
         F.length("key") >= min_chars)
-    return lines.select("k", "t", "pos", F.xxhash64("key").alias("h"),
-                        F.xxhash64(F.lit("second"), "key").alias("g"), "batch")
+    key = lower_ascii(F.col("key"))
+    return lines.select("k", "t", "pos", F.xxhash64(key).alias("h"), F.xxhash64(F.lit("second"), key).alias("g"), "batch")
 
 
 def id_bounds(rows: DataFrame, batches: int) -> list[int]:
@@ -157,11 +164,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 8, fanout:
         found = more if found is None else found.unionByName(more)
     gone = (repeated_places(lines, stored(found, "repeated"), heavy)
             .groupBy("k", "t").agg(F.collect_set("pos").alias("gone")))
-    split = split_lines(F.col("text"))
-    n = F.size(split)
+    # the lines are cut once, in a projection of their own, and picked by place
+    cut = rows.join(gone, ["k", "t"], "left").select(
+        F.col("row").getField(id_col).alias(id_col), "text", "gone", split_lines(F.col("text")).alias("lines"))
+    n = F.size("lines")
     stays = F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone"))
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(stays, lambda i: F.get(split, i)), "\n"))
-    return rows.join(gone, ["k", "t"], "left").select(
-        F.col("row").getField(id_col).alias(id_col), n.cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
+        F.array_join(F.transform(stays, lambda i: F.get("lines", i)), "\n"))
+    return cut.select(id_col, n.cast("long").alias("n_lines"),
+                      F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
