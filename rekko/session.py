@@ -72,3 +72,11 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def remove_table(spark: SparkSession, path: str) -> bool:
+    """Delete a table that a job wrote for itself below the checkpoint folder; False where none is there."""
+    if not path.startswith(checkpoint_dir(spark)):
+        raise ValueError(f"not below the checkpoint folder: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
