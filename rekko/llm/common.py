@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rekko.session import checkpoint_dir, cut_lineage  # noqa: F401  (re-exported for the operators)
+from rekko.session import checkpoint_dir, cut_lineage, remove_table  # noqa: F401  (re-exported for the operators)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,12 +103,32 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.struct(*[c for c in docs.columns if c != text_col]).alias("row"))
 
 
+# Paths of the tables that the operators have written for themselves, by application; see release().
+_TABLES: dict[str, list[str]] = {}
+
+
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder for a table of an operator's own."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that operators have written in this application; returns how many.
+
+    Call it when the results have been written: one that is still lazy reads them.
+    """
+    paths = _TABLES.pop(spark.sparkContext.applicationId, [])
+    return sum(remove_table(spark, p) for p in paths)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Like a checkpoint this cuts lineage and survives lost executors, but the
-    columns are compressed.  The table stays until the folder is cleared.
+    columns are compressed.  The table stays until :func:`release`.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = own_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,12 +26,11 @@ each gets that result.  An empty table gives no rows.  Extra columns are ignored
 from __future__ import annotations
 
 import string
-import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rekko.llm.common import checkpoint_dir, keyed, stored
+from rekko.llm.common import keyed, own_path, stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 HASH = ["h", "g"]
@@ -55,12 +54,12 @@ def bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
     """``df`` written to the shared folder, bucketed and sorted by hash, and read again.
 
     The catalog entry that carries the bucketing goes at once; the files stay
-    until the folder is cleared.
+    until ``release``.
     """
-    spark, tag = df.sparkSession, uuid.uuid4().hex
-    table = f"line_runs_{tag}"
-    (df.write.format("parquet").bucketBy(buckets, *HASH).sortBy(*HASH)
-     .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}-{tag}").saveAsTable(table))
+    spark = df.sparkSession
+    path = own_path(spark, name)
+    table = "line_runs_" + path.rsplit("-", 1)[1]
+    (df.write.format("parquet").bucketBy(buckets, *HASH).sortBy(*HASH).option("path", path).saveAsTable(table))
     out = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
     return out
@@ -153,7 +152,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 8, fanout:
     spark = docs.sparkSession
     rows = keyed(docs, id_col, text_col)
     bounds = id_bounds(rows, batches)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    path = own_path(spark, "lines")
     numbered = numbered_lines(rows, min_chars, bounds)
     numbered.write.partitionBy("batch").parquet(path)
     lines = spark.read.schema(numbered.schema).parquet(path)

@@ -70,6 +70,19 @@ def test_lines_of_an_empty_table(make_docs):
     assert sorted(map(tuple, got)) == [(1, 1, 0, ""), (2, 1, 0, "")]
 
 
+def test_tables_of_an_operator_can_be_deleted(spark, make_docs):
+    import os
+
+    from rekko.llm.common import checkpoint_dir, release
+    release(spark)
+    got = line_runs.dedup_lines(make_docs([(1, "a line of some length"), (2, "a line of some length")]))
+    assert sorted(r["n_dropped"] for r in got.collect()) == [0, 1]
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = len(os.listdir(folder))
+    n = release(spark)
+    assert n > 3 and len(os.listdir(folder)) == before - n and release(spark) == 0
+
+
 def test_runs_are_compacted_without_a_shuffle(spark, make_docs):
     rows = line_runs.keyed(make_docs([(i, f"a common first line\nline of document {i}") for i in range(40)]),
                            "doc_id", "text")
