@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rekko.operators.hot_join import SHARE, left_join
 from rekko.operators.stats import dedup_last, top_by_mean
 from rekko.schema import RATINGS, RatingSchema
 
@@ -38,11 +39,16 @@ def similar_lists(topk: DataFrame, s: RatingSchema, per_item_k: int) -> DataFram
 
 
 def warm_candidates(train: DataFrame, topk: DataFrame, s: RatingSchema = RATINGS,
-                    per_item_k: int = 20, max_pool: int = 300) -> DataFrame:
-    """``(user, item, first_pos)`` for users with ratings."""
+                    per_item_k: int = 20, max_pool: int = 300, hot_share: float | None = SHARE) -> DataFrame:
+    """``(user, item, first_pos)`` for users with ratings.
+
+    Seeds that stand in more than ``hot_share`` of the ratings are salted
+    (:mod:`rekko.operators.hot_join`); with None they meet their list in one task.
+    """
     rated = dedup_last(train, s).select(s.user, s.item, "first_ord")
     # a seed carries its similar items as one array; they become rows behind the join
-    met = rated.withColumnRenamed(s.item, "seed").join(similar_lists(topk, s, per_item_k), "seed")
+    seeds, lists = rated.withColumnRenamed(s.item, "seed"), similar_lists(topk, s, per_item_k)
+    met = seeds.join(lists, "seed") if hot_share is None else left_join(seeds, lists, "seed", hot_share)
     found = (met.select(s.user, F.explode("similar").alias(s.item), "first_ord")
              .groupBy(s.user, s.item).agg(F.min("first_ord").alias("first_pos")))
     fresh = found.join(rated.select(s.user, s.item), [s.user, s.item], "left_anti")
