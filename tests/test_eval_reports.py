@@ -61,3 +61,25 @@ def test_display_round(spark):
                                "user_id string, predicted_rating double, actual_rating double, n string")
     r = display_round(df).first()
     assert (r["predicted_rating"], r["actual_rating"], r["n"]) == (3.14, 2.68, "x")
+
+
+def test_reference_rows_are_scored_in_place(spark):
+    """Repeated rows stay, with the last ratings, and the scorer gets the pairs with their reference."""
+    from rekko.operators.recommend import target_on_reference
+    r = spark.createDataFrame([(1, 10, 2.0, 0), (1, 10, 5.0, 1), (1, 11, 3.0, 2), (2, 10, 1.0, 3), (2, 10, 4.0, 4),
+                               (1, None, 1.0, 5)], "user_id long, business_id long, stars double, ord long")
+    requests = spark.createDataFrame([(2, 1), (3, 1)], "target_id long, reference_id long")
+    names = spark.createDataFrame([(10, "ten")], "business_id long, business_name string")
+    seen = []
+
+    class Scorer:
+        def score(self, pairs, s):
+            seen.append(pairs.columns)
+            return pairs.selectExpr("*", "CAST(user_id AS DOUBLE) AS prediction")
+
+    got = sorted((tuple(x) for x in target_on_reference(requests, r, Scorer(), names).collect()), key=str)
+    assert got == sorted([
+        (t, 1, i, name, p, true, own) for t in (2, 3) for i, name, p, true, own in (
+            [(10, "ten", float(t), 5.0, 4.0 if t == 2 else None)] * 2
+            + [(11, "N/A", float(t), 3.0, None), (None, "N/A", None, None, None)])], key=str)
+    assert all("reference_id" in columns for columns in seen)
